@@ -77,7 +77,7 @@ def _(spark, d):
     return S.date_spine(spark, first, last)
 
 
-METRICS_SQL = "SELECT hotel, count(*) AS n, round(avg(abs(actual - prediction)), 4) AS mae FROM v_pred GROUP BY hotel"
+METRICS_SQL = "SELECT hotel, count(*) AS n, round(avg(abs(actual - prediction)), 6) AS mae FROM v_pred GROUP BY hotel"
 
 
 @query("append_metrics", f"SELECT * FROM ({METRICS_SQL}) a UNION ALL SELECT * FROM ({METRICS_SQL}) b")
@@ -85,7 +85,7 @@ def _(spark, d):
     path = scratch(spark, "metrics")
     p = view(spark, d, "v_pred")
     m = p.groupBy("hotel").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs(F.col("actual") - F.col("prediction"))), 4).alias("mae")
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs(F.col("actual") - F.col("prediction"))), 6).alias("mae")
     )
     S.append_metrics(m, path)
     S.append_metrics(m, path)

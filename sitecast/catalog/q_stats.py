@@ -37,9 +37,9 @@ def _(spark, d):
     "numeric_summary",
     each(
         NUMBERS,
-        "SELECT '{c}' AS \"column\", round(avg({c}), 4) AS mean, round(median({c}), 4) AS median, round(stddev_samp({c}), 4) AS std, "
-        "CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(skewness({c}), 4) + 0e0 AS skew, "
-        "round(kurtosis({c}), 4) + 0e0 AS kurtosis, count(*) - count({c}) AS missing FROM v_bookings",
+        "SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean, round(median({c}), 6) AS median, round(stddev_samp({c}), 6) AS std, "
+        "CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(skewness({c}), 6) + 0e0 AS skew, "
+        "round(kurtosis({c}), 6) + 0e0 AS kurtosis, count(*) - count({c}) AS missing FROM v_bookings",
     ),
 )
 def _(spark, d):
@@ -76,9 +76,9 @@ def _(spark, d):
     "describe_numeric",
     each(
         ["adr", "lead_time", "children"],
-        "SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
-        "CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50, "
-        "round(quantile_cont({c}, 0.75), 4) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM v_bookings",
+        "SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+        "CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+        "round(quantile_cont({c}, 0.75), 6) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM v_bookings",
     ),
 )
 def _(spark, d):
@@ -88,7 +88,7 @@ def _(spark, d):
 @query(
     "quantiles",
     "\nUNION ALL ".join(
-        f"SELECT CAST({q} AS DOUBLE) AS q, round(quantile_cont(adr, {q}), 4) AS value FROM v_bookings" for q in (0.01, 0.25, 0.5, 0.75, 0.999)
+        f"SELECT CAST({q} AS DOUBLE) AS q, round(quantile_cont(adr, {q}), 6) AS value FROM v_bookings" for q in (0.01, 0.25, 0.5, 0.75, 0.999)
     ),
 )
 def _(spark, d):
@@ -97,8 +97,8 @@ def _(spark, d):
 
 @query(
     "group_means",
-    "SELECT arrival_date_month, customer_type, round(avg(adr), 4) AS adr, round(avg(lead_time), 4) AS lead_time, "
-    "round(avg(children), 4) AS children FROM v_bookings GROUP BY 1, 2",
+    "SELECT arrival_date_month, customer_type, round(avg(adr), 6) AS adr, round(avg(lead_time), 6) AS lead_time, "
+    "round(avg(children), 6) AS children FROM v_bookings GROUP BY 1, 2",
 )
 def _(spark, d):
     df = bookings(spark, d).select("arrival_date_month", "customer_type", "adr", "lead_time", "children", "node")
@@ -107,7 +107,7 @@ def _(spark, d):
 
 @query(
     "column_means_ranked",
-    each(["adr", "lead_time", "adults", "children"], "SELECT '{c}' AS \"column\", round(avg({c}), 4) AS mean FROM v_bookings"),
+    each(["adr", "lead_time", "adults", "children"], "SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean FROM v_bookings"),
 )
 def _(spark, d):
     return rounded(A.column_means_ranked(bookings(spark, d), ["adr", "lead_time", "adults", "children"]))
@@ -157,30 +157,30 @@ def _(spark, d):
 
 @query(
     "regression_metrics",
-    "SELECT hotel, count(*) AS n, round(avg((actual - prediction) ** 2), 4) AS mse, round(sqrt(avg((actual - prediction) ** 2)), 4) AS rmse, "
-    "round(avg(abs(actual - prediction)), 4) AS mae, round(1 - avg((actual - prediction) ** 2) / var_pop(actual), 6) AS r2 FROM v_pred GROUP BY hotel",
+    "SELECT hotel, count(*) AS n, round(avg((actual - prediction) ** 2), 6) AS mse, round(sqrt(avg((actual - prediction) ** 2)), 6) AS rmse, "
+    "round(avg(abs(actual - prediction)), 6) AS mae, round(1 - avg((actual - prediction) ** 2) / var_pop(actual), 6) AS r2 FROM v_pred GROUP BY hotel",
 )
 def _(spark, d):
     m = A.regression_metrics(view(spark, d, "v_pred"), "actual", "prediction", ["hotel"])
-    return m.withColumns({**{c: F.round(c, 4) for c in ("mse", "rmse", "mae")}, "r2": F.round("r2", 6)})
+    return m.withColumns({**{c: F.round(c, 6) for c in ("mse", "rmse", "mae")}, "r2": F.round("r2", 6)})
 
 
 @query(
     "combined_loss",
-    "SELECT round(mse, 4) AS mse, round(smooth_l1, 4) AS smooth_l1, round(msle, 6) AS msle, "
-    "round(0.5 * mse + 0.3 * smooth_l1 + 0.2 * msle, 4) AS combined FROM parts",
+    "SELECT round(mse, 6) AS mse, round(smooth_l1, 6) AS smooth_l1, round(msle, 6) AS msle, "
+    "round(0.5 * mse + 0.3 * smooth_l1 + 0.2 * msle, 6) AS combined FROM parts",
     parts="SELECT avg((prediction - actual) ** 2) AS mse, "
     "avg(CASE WHEN abs(prediction - actual) < 1 THEN 0.5 * (prediction - actual) ** 2 ELSE abs(prediction - actual) - 0.5 END) AS smooth_l1, "
     "avg((ln(prediction + 1e-8) - ln(actual + 1e-8)) ** 2) AS msle FROM v_pred",
 )
 def _(spark, d):
     loss = A.combined_loss(view(spark, d, "v_pred"), "actual", "prediction")
-    return loss.withColumns({**{c: F.round(c, 4) for c in ("mse", "smooth_l1", "combined")}, "msle": F.round("msle", 6)})
+    return loss.withColumns({**{c: F.round(c, 6) for c in ("mse", "smooth_l1", "combined")}, "msle": F.round("msle", 6)})
 
 
 @query(
     "cv_summary",
-    "SELECT metric, round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std FROM folds GROUP BY metric",
+    "SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM folds GROUP BY metric",
     errors="SELECT booking_id % 5 AS fold, actual, prediction FROM v_pred",
     folds="SELECT fold, 'mae' AS metric, avg(abs(actual - prediction)) AS value FROM errors GROUP BY fold "
     "UNION ALL SELECT fold, 'rmse', sqrt(avg((actual - prediction) ** 2)) FROM errors GROUP BY fold",
@@ -241,7 +241,7 @@ def _(spark, d):
 ADAPTIVE = (
     "round(CAST(coalesce({c}, (SELECT CASE WHEN high > 0.05 * n THEN med ELSE mean END FROM "
     "(SELECT count(CASE WHEN {c} > q3 + 1.5 * (q3 - q1) THEN 1 END) AS high, count(*) AS n, any_value(med) AS med, avg({c}) AS mean "
-    "FROM v_event_nulls, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, median({c}) AS med FROM v_event_nulls)))) AS DOUBLE), 4) AS {c}"
+    "FROM v_event_nulls, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, median({c}) AS med FROM v_event_nulls)))) AS DOUBLE), 6) AS {c}"
 )
 
 
@@ -276,7 +276,7 @@ def _(spark, d):
 
 @query(
     "cap_quantile",
-    "SELECT booking_id, round(CASE WHEN adr > q THEN q ELSE adr END, 4) AS adr FROM v_bookings, (SELECT quantile_cont(adr, 0.99) AS q FROM v_bookings)",
+    "SELECT booking_id, round(CASE WHEN adr > q THEN q ELSE adr END, 6) AS adr FROM v_bookings, (SELECT quantile_cont(adr, 0.99) AS q FROM v_bookings)",
 )
 def _(spark, d):
     return rounded(C.cap_quantile(bookings(spark, d), "adr", 0.99).select("booking_id", "adr"))
@@ -303,7 +303,7 @@ def _(spark, d):
 @query(
     "winsorize",
     "SELECT booking_id, round(CASE WHEN adr < q1 - 0.4 * (q3 - q1) THEN q1 - 0.4 * (q3 - q1) "
-    "WHEN adr > q3 + 0.4 * (q3 - q1) THEN q3 + 0.4 * (q3 - q1) ELSE adr END, 4) AS adr FROM v_bookings, fence",
+    "WHEN adr > q3 + 0.4 * (q3 - q1) THEN q3 + 0.4 * (q3 - q1) ELSE adr END, 6) AS adr FROM v_bookings, fence",
     fence=FENCE,
 )
 def _(spark, d):
@@ -317,7 +317,7 @@ def _(spark, d):
 
 @query(
     "log_outliers",
-    f"SELECT booking_id, round(CASE WHEN {OUT} THEN ln(adr + shift) ELSE adr + shift END, 4) AS adr FROM v_bookings, fence, "
+    f"SELECT booking_id, round(CASE WHEN {OUT} THEN ln(adr + shift) ELSE adr + shift END, 6) AS adr FROM v_bookings, fence, "
     "(SELECT CASE WHEN min(adr) <= 0 THEN abs(min(adr)) + 1 ELSE 0 END AS shift FROM v_bookings)",
     fence=FENCE,
 )

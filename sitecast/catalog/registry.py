@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None, **ctes: str):
     return register
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """All double columns rounded, for comparison across engines."""
     doubles = [c for c, t in df.dtypes if t == "double"]
     return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
