@@ -15,7 +15,7 @@ from sitecast.plans.bookings import create_features, preprocess_bookings
 from sitecast.plans.endtoend import run_all
 from sitecast.plans.locations import create_location_features, site_shortlist
 from sitecast.plans.nulls import clean_nulls
-from sitecast.session import shared_dir
+from sitecast.session import materialize, shared_dir
 
 R2 = "1 - avg((actual - prediction) ** 2) / var_pop(actual)"
 
@@ -142,7 +142,7 @@ PRE = {
 
 @query("preprocess_bookings", "SELECT * REPLACE (round(adr, 6) AS adr, round(weekend_ratio, 6) AS weekend_ratio) FROM pre", **PRE)
 def _(spark, d):
-    return rounded(preprocess_bookings(view(spark, d, "v_bookings_dup")))
+    return rounded(preprocess_bookings(materialize(view(spark, d, "v_bookings_dup"))))
 
 
 CUSTOMERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -163,7 +163,8 @@ S_EXPR = SEASON.format(m="arrival_date_month_num")
     **PRE,
 )
 def _(spark, d):
-    return rounded(create_features(preprocess_bookings(view(spark, d, "v_bookings_dup"))))
+    cleaned = materialize(preprocess_bookings(materialize(view(spark, d, "v_bookings_dup"))))
+    return rounded(create_features(cleaned, CUSTOMERS, SEGMENTS))
 
 
 LOCATION_SQL = (
@@ -194,7 +195,7 @@ def _(spark, d):
     "first_value(month_no IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS month_no FROM v_event_nulls",
 )
 def _(spark, d):
-    out = clean_nulls(view(spark, d, "v_event_nulls"), ["ts", "event_id"])["cleaned"]
+    out = clean_nulls(materialize(view(spark, d, "v_event_nulls")), ["ts", "event_id"])["cleaned"]
     return rounded(out.select("event_id", "event_type", "value", "month_no"))
 
 
@@ -234,7 +235,7 @@ def _(spark, d):
 @query("end_to_end")
 def _(spark, d):
     out = run_all(
-        spark, view(spark, d, "v_bookings_dup"), view(spark, d, "v_pois"), scored_sites(spark, d),
+        spark, materialize(view(spark, d, "v_bookings_dup")), view(spark, d, "v_pois"), scored_sites(spark, d),
         f"{shared_dir(spark)}/job-{uuid.uuid4().hex}", FEATURES, demand_params={"n_estimators": 5},
         location_params={"n_estimators": 20, "max_depth": 5}, location_kind="randomforest", amenities=AMENITIES, **GRID,
     )

@@ -123,9 +123,12 @@ def prefixed(
     reduced = rows.groupBy(*keys).agg(
         *[fold[kind](f"_in_{name}").alias(f"_red_{name}") for name, (kind, _, _) in specs.items()]
     )
-    along = Window.partitionBy(*partition).orderBy(CHUNK) if partition else Window.orderBy(CHUNK)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
+    # A frame that reaches forward without bound is recomputed for every row, so
+    # "this row and later" runs backwards over the reversed order instead.
+    start = Window.unboundedPreceding
+    along = Window.partitionBy(*partition)
+    earlier = along.orderBy(CHUNK).rowsBetween(start, -1)
+    later = along.orderBy(F.desc(CHUNK)).rowsBetween(start, -1)
     carried = reduced.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[
@@ -135,11 +138,11 @@ def prefixed(
     )
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     joined = rows.repartition(*keys).join(carried, same, "left")
-    inside = Window.partitionBy(*keys).orderBy(POS)
+    inside = Window.partitionBy(*keys)
     frames = {
-        "before": inside.rowsBetween(Window.unboundedPreceding, -1),
-        "upto": inside.rowsBetween(Window.unboundedPreceding, 0),
-        "from": inside.rowsBetween(0, Window.unboundedFollowing),
+        "before": inside.orderBy(POS).rowsBetween(start, -1),
+        "upto": inside.orderBy(POS).rowsBetween(start, 0),
+        "from": inside.orderBy(F.desc(POS)).rowsBetween(start, 0),
     }
     pick = {"min": F.least, "max": F.greatest}
     for name, (kind, _, reach) in specs.items():

@@ -13,6 +13,8 @@ those plans flat and lets a comparison with a quantile be pushed to the scan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,8 +73,11 @@ def quantile_values(
             for t, (_, _, col, at, lo, hi, _) in enumerate(targets)
         ]
     )
+    # The brackets go to the scan as a filter, so most rows never build the array.
+    anywhere = reduce(lambda a, b: a | b, [F.col(col).between(lo, hi) for _, _, col, _, lo, hi, _ in targets])
     near = (
-        base.select(F.explode(F.filter(inside, lambda x: x["v"].isNotNull())).alias("x"))
+        base.filter(anywhere)
+        .select(F.explode(F.filter(inside, lambda x: x["v"].isNotNull())).alias("x"))
         .groupBy("x.t", "x.at", "x.below", "x.v")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )

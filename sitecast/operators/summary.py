@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecast.operators.columns import any_null, columns_by_kind
+from sitecast.operators.ordering import prefixed
 from sitecast.operators.quantiles import quantile_values
 
 
@@ -326,21 +327,15 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def early_stop(history: DataFrame, patience: int, run: Sequence[str] = ("run",), epoch: str = "epoch", loss: str = "loss") -> DataFrame:
     """Best and last epoch of each run under a patience rule.
 
-    An epoch improves when its loss is strictly below every earlier one; the run
-    stops after ``patience`` epochs in a row without improvement.  The running
-    values come from the chunked prefix, so one long run is not one task.
+    An epoch improves when its loss is strictly below every earlier one, so the
+    last improvement up to an epoch is the first place of the lowest loss so far:
+    a running minimum over (loss, epoch).  The run stops after ``patience``
+    epochs in a row without improvement.
     """
-    from sitecast.operators.ordering import prefixed
-
     keys = list(run)
-    seen = prefixed(history.select(*keys, epoch, loss), keys, [F.col(epoch)], {"_best": ("min", F.col(loss), "before")})
-    better = F.col("_best").isNull() | (F.col(loss) < F.col("_best"))
-    marked = prefixed(
-        seen.select(*keys, epoch, loss, better.alias("_better")),
-        keys,
-        [F.col(epoch)],
-        {"_last": ("max", F.when(F.col("_better"), F.col(epoch)), "upto")},
-    )
+    known = F.when(F.col(loss).isNotNull(), F.struct(F.col(loss).alias("l"), F.col(epoch).alias("e")))
+    lowest = prefixed(history.select(*keys, epoch, loss), keys, [F.col(epoch)], {"_low": ("min", known, "upto")})
+    marked = lowest.withColumn("_last", F.col("_low.e"))
     stop = F.min(F.when(F.col(epoch) - F.col("_last") >= patience, F.col(epoch)))
     ends = marked.groupBy(*keys).agg(
         stop.alias("_stop"),

@@ -11,7 +11,8 @@ from sitecast.functions.bookings import guest_features, interaction_features, le
 from sitecast.functions.dates import SEASONS, compose_date, date_parts, month_number, season_features
 from sitecast.functions.encoding import one_hot
 from sitecast.operators.cleaning import cap_quantile, clamp_negative, deduplicate, impute_median, impute_mode
-from sitecast.operators.columns import require
+from sitecast.operators.columns import columns_by_kind, require
+from sitecast.operators.summary import null_columns
 
 DATE_PARTS = ["arrival_date_year", "arrival_date_month", "arrival_date_day_of_month"]
 
@@ -19,9 +20,14 @@ DATE_PARTS = ["arrival_date_year", "arrival_date_month", "arrival_date_day_of_mo
 def preprocess_bookings(df: DataFrame) -> DataFrame:
     """Impute, clamp and cap the price, repair dates, derive stay and guest columns, drop copies.
 
-    A step whose columns are absent is skipped.
+    A step whose columns are absent is skipped.  The statistics take several
+    column-pruned passes, so give a stored table rather than a costly plan.
     """
-    out = impute_mode(impute_median(df))
+    kinds = columns_by_kind(df)
+    holed = set(null_columns(df, kinds["numeric"] + kinds["categorical"]))
+    out = impute_mode(
+        impute_median(df, [c for c in kinds["numeric"] if c in holed]), [c for c in kinds["categorical"] if c in holed]
+    )
     if require(out, ["adr"], strict=False):
         out = cap_quantile(clamp_negative(out, "adr"), "adr", 0.999)
     if require(out, ["arrival_date_month"], strict=False):
