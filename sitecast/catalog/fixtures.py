@@ -3,7 +3,8 @@
 Each view is one SQL text that runs unchanged on Spark and on the checking
 engine, reads whole tables, and adds by arithmetic what the tables lack: NULLs,
 coordinates, invalid dates, negative prices.  Coordinates are integers in 1e-4
-degree so that both engines compare the same squared integers.
+degree so that both engines compare the same squared integers.  Prices and means
+are built from whole numbers and one division, which both engines round alike.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ SELECT o_orderkey AS booking_id,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE concat('N', CAST(c_nationkey AS STRING)) END AS country,
   o_orderpriority AS market_segment, c_mktsegment AS customer_type,
   CAST(CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS INT) AS is_repeated_guest,
-  CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN -round(o_totalprice / 1e3, 2)
-    ELSE round(o_totalprice / 1e3, 2) END AS adr,
+  CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN -floor(o_totalprice / 1e1 + 0.5e0) / 1e2
+    ELSE floor(o_totalprice / 1e1 + 0.5e0) / 1e2 END AS adr,
   o_orderdate AS status_ts, c_custkey AS node,
   CAST(311000 + (o_orderkey * 37) % 2000 AS INT) AS lat_e4, CAST(1214000 + (o_orderkey * 91) % 2000 AS INT) AS lon_e4
 FROM orders JOIN customer ON o_custkey = c_custkey""",
@@ -65,10 +66,10 @@ SELECT location_id, CAST((site_key * 3) % 10 AS INT) AS competitor_count FROM v_
     "v_nodes": """
 SELECT s_suppkey AS node, s_acctbal AS distance, CAST(s_suppkey % 7 AS DOUBLE) AS x1, CAST(s_nationkey AS DOUBLE) AS x2, s_nationkey AS grp FROM supplier""",
     "v_monthly": """
-SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, round(avg(o_totalprice), 4) AS value FROM orders
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, CAST(sum(CAST(round(o_totalprice * 1e2) AS BIGINT)) AS DOUBLE) / (1e2 * count(*)) AS value FROM orders
 WHERE (year(o_orderdate) * 12 + month(o_orderdate)) % 13 <> 5 GROUP BY 1""",
     "v_daily": """
-SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(avg(value), 4) AS value FROM events GROUP BY 1, 2""",
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, CAST(sum(CAST(round(value * 1e2) AS BIGINT)) AS DOUBLE) / (1e2 * count(*)) AS value FROM events GROUP BY 1, 2""",
     "v_calendar": """
 SELECT DISTINCT CAST(ts AS DATE) AS date, CAST(25 + day(ts) % 10 AS INT) AS temp_max, (day(ts) % 10) / 1e1 AS precipitation
 FROM events WHERE day(ts) % 6 <> 0""",
@@ -81,14 +82,14 @@ SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 7 = 0 THEN NULL E
 SELECT booking_id, hotel, adr AS actual, round(adr * (0.9e0 + (booking_id % 21) / 1e2), 4) AS prediction, status_ts AS date FROM v_bookings WHERE adr > 0""",
     "v_history": """
 SELECT o_custkey AS run, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS INT) AS epoch,
-  round(o_totalprice / 1e5, 1) AS loss FROM orders""",
+  floor(o_totalprice / 1e4 + 0.5e0) / 1e1 AS loss FROM orders""",
     "v_hotel_history": """
 SELECT o_orderkey AS booking_id, concat('H_', lpad(CAST(c_nationkey AS STRING), 2, '0')) AS hotel,
   CASE WHEN c_nationkey % 2 = 0 THEN 'east' ELSE 'west' END AS city,
   CAST((c_nationkey * 7) % 23 AS INT) AS poi_restaurant_count, CAST((c_nationkey * 5) % 11 AS INT) AS poi_park_count,
   ((c_nationkey * 13) % 29) / 1e1 AS distance_to_city_center,
   CAST(month(o_orderdate) AS INT) AS arrival_date_month, c_mktsegment AS customer_type,
-  round(o_totalprice / 1e3, 2) AS adr, CAST(1 + o_orderkey % 4 AS INT) AS adults
+  floor(o_totalprice / 1e1 + 0.5e0) / 1e2 AS adr, CAST(1 + o_orderkey % 4 AS INT) AS adults
 FROM orders JOIN customer ON o_custkey = c_custkey""",
 }
 

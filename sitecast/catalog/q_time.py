@@ -21,6 +21,7 @@ def _(spark, d):
     return rounded(T.resample_mean(o, "o_orderdate", "o_totalprice", "month"))
 
 
+
 @query(
     "rolling_mean",
     "SELECT day, event_type, value, CASE WHEN count(value) OVER w = 4 THEN round(avg(value) OVER w, 6) END AS moving_average FROM v_daily "

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN marks a missing number on input; Spark would treat it as the largest value."""
+    floats = [c for c, t in df.dtypes if t in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv") -> DataFrame:
-    """Scan with a fixed schema (no inference pass); empty CSV fields are NULL."""
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
-    return reader.format(fmt).load(path)
+    """Scan with a fixed schema (no inference pass); empty and NaN CSV fields are NULL."""
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    return nan_to_null(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
