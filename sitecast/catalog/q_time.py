@@ -24,7 +24,7 @@ def _(spark, d):
 
 @query(
     "rolling_mean",
-    "SELECT day, event_type, value, CASE WHEN count(value) OVER w = 4 THEN round(avg(value) OVER w, 6) END AS moving_average FROM v_daily "
+    "SELECT day, event_type, round(value, 6) AS value, CASE WHEN count(value) OVER w = 4 THEN round(avg(value) OVER w, 6) END AS moving_average FROM v_daily "
     "WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)",
 )
 def _(spark, d):

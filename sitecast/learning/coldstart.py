@@ -13,6 +13,7 @@ from sitecast.operators.cleaning import first_per_key
 from sitecast.operators.joins import dense_index, knn_join, semi_filter
 from sitecast.operators.ranking import append_mean_row, append_predictions
 from sitecast.operators.summary import group_means
+from sitecast.session import materialize
 
 # The static features that decide likeness.
 STATIC_FEATURES = [
@@ -31,7 +32,8 @@ def similar_hotels(
     used = [c for c in features if c in df.columns]
     if not used:
         raise ValueError("no static feature is present")
-    known = first_per_key(df, ["hotel"], order).select(*used)
+    # One row per hotel from here on: the history is read once.
+    known = materialize(first_per_key(df, ["hotel"], order).select(*used))
     values = [hotel_id if c == "hotel" else hotel_features.get(c) for c in used]
     new = df.sparkSession.createDataFrame([tuple(values)], known.schema)
     both = known.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
@@ -40,7 +42,7 @@ def similar_hotels(
         both = dense_index(both, c, f"{c}_code")
     numbers = [c for c in used if c not in text] + [f"{c}_code" for c in text]
     scaler = fit_scaler(both.filter(~F.col("_new")), numbers)
-    scaled = apply_scaler(both, scaler)
+    scaled = materialize(apply_scaler(both, scaler))
     near = knn_join(
         scaled.filter("_new").select(F.col("hotel").alias("query_id"), *numbers),
         scaled.filter(~F.col("_new")).select("hotel", *numbers),

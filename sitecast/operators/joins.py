@@ -247,7 +247,8 @@ def knn_join(
         )
         pending.clear()
 
-    for r in rows.toLocalIterator():
+    few = rows.limit(batch + 1).collect()
+    for r in few if len(few) <= batch else rows.toLocalIterator():
         pending.append(r)
         if len(pending) == batch:
             flush()

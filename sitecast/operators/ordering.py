@@ -18,6 +18,7 @@ from sitecast.session import materialize
 POS = "_pos"
 CHUNK = "_chunk"
 OWN = "_own"
+_KEY = "_key"
 FRAME_CHUNK = 8_192
 PREFIX_CHUNK = 65_536
 
@@ -115,30 +116,34 @@ def prefixed(
     with the window inside the chunk.
     """
     rows = with_positions(df, [F.col(c) for c in partition] + list(order))
-    rows = rows.withColumn(CHUNK, F.floor(F.col(POS) / chunk_rows).cast("long"))
+    # As one struct the partition columns compare NULL with NULL as equal, so the
+    # join and the windows below share a single shuffle of the rows.
+    rows = rows.withColumns(
+        {_KEY: F.struct(F.lit(0), *partition), CHUNK: F.floor(F.col(POS) / chunk_rows).cast("long")}
+    )
     for name, (_, value, _) in specs.items():
         rows = rows.withColumn(f"_in_{name}", value)
-    keys = [*partition, CHUNK]
     fold = {"min": F.min, "max": F.max}
-    reduced = rows.groupBy(*keys).agg(
+    # Rows are stored in order, so each task folds its chunks before the shuffle.
+    reduced = rows.groupBy(_KEY, CHUNK).agg(
         *[fold[kind](f"_in_{name}").alias(f"_red_{name}") for name, (kind, _, _) in specs.items()]
     )
     # A frame that reaches forward without bound is recomputed for every row, so
     # "this row and later" runs backwards over the reversed order instead.
     start = Window.unboundedPreceding
-    along = Window.partitionBy(*partition)
+    along = Window.partitionBy(_KEY)
     earlier = along.orderBy(CHUNK).rowsBetween(start, -1)
     later = along.orderBy(F.desc(CHUNK)).rowsBetween(start, -1)
     carried = reduced.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        _KEY,
+        CHUNK,
         *[
             fold[kind](f"_red_{name}").over(later if reach == "from" else earlier).alias(f"_carry_{name}")
             for name, (kind, _, reach) in specs.items()
         ],
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    joined = rows.repartition(*keys).join(carried, same, "left")
-    inside = Window.partitionBy(*keys)
+    joined = rows.repartition(_KEY, CHUNK).join(carried, [_KEY, CHUNK], "left")
+    inside = Window.partitionBy(_KEY, CHUNK)
     frames = {
         "before": inside.orderBy(POS).rowsBetween(start, -1),
         "upto": inside.orderBy(POS).rowsBetween(start, 0),
@@ -148,5 +153,5 @@ def prefixed(
     for name, (kind, _, reach) in specs.items():
         own = fold[kind](f"_in_{name}").over(frames[reach])
         joined = joined.withColumn(name, pick[kind](own, F.col(f"_carry_{name}")))
-    extra = [c for c in joined.columns if c.startswith(("_k_", "_in_", "_carry_"))]
-    return joined.drop(*extra, CHUNK, POS)
+    extra = [c for c in joined.columns if c.startswith(("_in_", "_carry_"))]
+    return joined.drop(*extra, _KEY, CHUNK, POS)

@@ -13,6 +13,7 @@ those plans flat and lets a comparison with a quantile be pushed to the scan.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -54,31 +55,43 @@ def quantile_values(
             whole = n <= whole_range_rows
             lo = sketch[f"lo{i}"] if whole or q - margin <= 0 else sketch[f"p{i}"][2 * j]
             hi = sketch[f"hi{i}"] if whole or q + margin >= 1 else sketch[f"p{i}"][2 * j + 1]
-            targets.append((c, q, f"c{i}", q * (n - 1), lo, hi, lo == sketch[f"lo{i}"]))
+            targets.append((c, q, f"c{i}", q * (n - 1), lo, hi))
     if not targets:
         return out
 
-    counted = [F.count_if(F.col(col) < lo).alias(f"b{t}") for t, (_, _, col, _, lo, _, low) in enumerate(targets) if not low]
-    below_row = base.agg(*counted).first().asDict() if counted else {}
-    below = [below_row.get(f"b{t}", 0) for t in range(len(targets))]
+    counted = base.agg(
+        *[F.count_if(F.col(col) < lo).alias(f"b{t}") for t, (_, _, col, _, lo, _) in enumerate(targets)],
+        *[F.count_if(F.col(col) <= hi).alias(f"u{t}") for t, (_, _, col, _, _, hi) in enumerate(targets)],
+    ).first()
+    for t, (c, q, _, at, lo, hi) in enumerate(targets):
+        if counted[f"b{t}"] > math.floor(at) or counted[f"u{t}"] <= math.ceil(at):
+            raise RuntimeError(f"bracket missed quantile {q} of {c}")
+        if lo == hi:
+            out[c, q] = lo
+    # A bracket that holds one value, however many rows share it, needs no look inside.
+    open_targets = [t for t, (c, q, *_) in enumerate(targets) if (c, q) not in out]
+    if not open_targets:
+        return out
 
     inside = F.array(
         *[
             F.struct(
                 F.lit(t).alias("t"),
                 F.lit(at).alias("at"),
-                F.lit(below[t]).cast("long").alias("below"),
+                F.lit(counted[f"b{t}"]).cast("long").alias("below"),
                 F.when(F.col(col).between(lo, hi), F.col(col)).alias("v"),
             )
-            for t, (_, _, col, at, lo, hi, _) in enumerate(targets)
+            for t, (_, _, col, at, lo, hi) in enumerate(targets)
+            if t in open_targets
         ]
     )
     # The brackets go to the scan as a filter, so most rows never build the array.
-    anywhere = reduce(lambda a, b: a | b, [F.col(col).between(lo, hi) for _, _, col, _, lo, hi, _ in targets])
+    anywhere = reduce(lambda a, b: a | b, [F.col(targets[t][2]).between(*targets[t][4:6]) for t in open_targets])
     near = (
         base.filter(anywhere)
-        .select(F.explode(F.filter(inside, lambda x: x["v"].isNotNull())).alias("x"))
-        .groupBy("x.t", "x.at", "x.below", "x.v")
+        .select(F.inline(inside))
+        .filter(F.col("v").isNotNull())
+        .groupBy("t", "at", "below", "v")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     running = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -92,11 +105,10 @@ def quantile_values(
         .collect()
     )
     found = {r["t"]: r for r in picked}
-    for t, (c, q, _, at, _, _, _) in enumerate(targets):
-        row = found.get(t)
-        if row is None or below[t] > int(at) or row["x0"] is None or row["x1"] is None:
-            raise RuntimeError(f"bracket missed quantile {q} of {c}")
-        out[c, q] = row["x0"] + (row["x1"] - row["x0"]) * (at - int(at))
+    for t in open_targets:
+        c, q, _, at, *_ = targets[t]
+        x0, x1 = found[t]["x0"], found[t]["x1"]
+        out[c, q] = x0 + (x1 - x0) * (at - math.floor(at))
     return out
 
 

@@ -11,6 +11,7 @@ from sitecast.functions.locations import competition_index, economic_index, poi_
 from sitecast.operators.columns import require
 from sitecast.operators.joins import count_pois_within, join_location_sources
 from sitecast.operators.ranking import top_ranked
+from sitecast.session import materialize
 
 
 def create_location_features(poi: DataFrame, dist: DataFrame, census: DataFrame, comp: DataFrame) -> DataFrame:
@@ -38,7 +39,10 @@ def site_shortlist(
     radius_km: float = 1.0,
     **grid,
 ) -> DataFrame:
-    """Points of interest around each site, features, weighted score, rank, best ``n``."""
+    """Points of interest around each site, features, weighted score, rank, best ``n``.
+
+    The features are stored once: the score needs their span before the values.
+    """
     counted = count_pois_within(sites, pois, radius_km, amenities, **grid)
-    features = create_location_features(counted, dist, census, comp)
+    features = materialize(create_location_features(counted, dist, census, comp))
     return top_ranked(weighted_score(features, weights), "score", n, "location_id")
