@@ -20,11 +20,11 @@ GRID = {"lat": "lat_e4", "lon": "lon_e4", "units_per_degree": 1e4}
 
 @query(
     "group_mean_join_back",
-    "SELECT booking_id, country, round(adr, 6) AS adr, round(CASE WHEN country IS NOT NULL THEN avg(adr) OVER (PARTITION BY arrival_date_month, country) END, 6) AS mean_price FROM v_bookings",
+    "SELECT booking_id, country, round(adr, 8) AS adr, round(CASE WHEN country IS NOT NULL THEN avg(adr) OVER (PARTITION BY arrival_date_month, country) END, 8) AS mean_price FROM v_bookings",
 )
 def _(spark, d):
     df = view(spark, d, "v_bookings").select("booking_id", "arrival_date_month", "country", "adr")
-    return rounded(J.group_mean_join_back(df, ["arrival_date_month", "country"], "adr", "mean_price")).drop("arrival_date_month")
+    return rounded(J.group_mean_join_back(df, ["arrival_date_month", "country"], "adr", "mean_price"), 8).drop("arrival_date_month")
 
 
 LOCATION_COLUMNS = [
@@ -197,12 +197,12 @@ def _(spark, d):
 
 @query(
     "price_ratio",
-    "SELECT booking_id, round(m, 6) AS avg_price_month_hotel, round(adr / m, 6) AS price_ratio FROM "
+    "SELECT booking_id, round(m, 8) AS avg_price_month_hotel, round(adr / m, 8) AS price_ratio FROM "
     "(SELECT booking_id, adr, avg(adr) OVER (PARTITION BY arrival_date_month, hotel) AS m FROM v_bookings) t",
 )
 def _(spark, d):
     out = B.price_ratio(bookings(spark, d))
-    return out.select("booking_id", F.round("avg_price_month_hotel", 6).alias("avg_price_month_hotel"), F.round("price_ratio", 6).alias("price_ratio"))
+    return out.select("booking_id", F.round("avg_price_month_hotel", 8).alias("avg_price_month_hotel"), F.round("price_ratio", 8).alias("price_ratio"))
 
 
 SEASON = (
@@ -394,19 +394,19 @@ def _(spark, d):
 @query(
     "append_predictions",
     "SELECT booking_id, hotel, adr, CAST(NULL AS INT) AS is_prediction FROM v_bookings UNION ALL "
-    "SELECT NULL, hotel, round(avg(adr), 6), 1 FROM v_bookings GROUP BY hotel",
+    "SELECT NULL, hotel, round(avg(adr), 8), 1 FROM v_bookings GROUP BY hotel",
 )
 def _(spark, d):
     df = bookings(spark, d, "hotel", "adr")
     pred = df.groupBy("hotel").agg(F.avg("adr").alias("adr"))
-    return rounded(R.append_predictions(df, pred))
+    return rounded(R.append_predictions(df, pred), 8)
 
 
 @query(
     "append_mean_row",
-    "SELECT CAST(booking_id AS DOUBLE) AS booking_id, hotel, round(adr, 6) AS adr, CAST(NULL AS INT) AS is_prediction FROM v_bookings UNION ALL "
-    "SELECT round(avg(booking_id), 6), 'H_NEW', round(avg(adr), 6), 1 FROM v_bookings WHERE hotel = 'City Hotel'",
+    "SELECT CAST(booking_id AS DOUBLE) AS booking_id, hotel, round(adr, 8) AS adr, CAST(NULL AS INT) AS is_prediction FROM v_bookings UNION ALL "
+    "SELECT round(avg(booking_id), 8), 'H_NEW', round(avg(adr), 8), 1 FROM v_bookings WHERE hotel = 'City Hotel'",
 )
 def _(spark, d):
     df = bookings(spark, d, "hotel", "adr")
-    return rounded(R.append_mean_row(df, df.filter(F.col("hotel") == "City Hotel"), "H_NEW"))
+    return rounded(R.append_mean_row(df, df.filter(F.col("hotel") == "City Hotel"), "H_NEW"), 8)

@@ -73,13 +73,13 @@ def _(spark, d):
 @query(
     "cold_start",
     "SELECT hotel, city, arrival_date_month, customer_type, "
-    + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in COLD_NUMBERS)
+    + ", ".join(f"round(CAST({c} AS DOUBLE), 8) AS {c}" for c in COLD_NUMBERS)
     + ", CAST(NULL AS INT) AS is_prediction FROM v_hotel_history UNION ALL SELECT 'H_NEW', NULL, arrival_date_month, customer_type, "
-    + ", ".join(f"round(avg({c}), 6)" for c in COLD_NUMBERS) + ", 1 FROM v_hotel_history WHERE hotel IN (SELECT hotel FROM near) GROUP BY 3, 4",
+    + ", ".join(f"round(avg({c}), 8)" for c in COLD_NUMBERS) + ", 1 FROM v_hotel_history WHERE hotel IN (SELECT hotel FROM near) GROUP BY 3, 4",
     **COLD,
 )
 def _(spark, d):
-    return rounded(CS.cold_start(view(spark, d, "v_hotel_history"), "H_NEW", NEW_HOTEL, [F.col("booking_id")]))
+    return rounded(CS.cold_start(view(spark, d, "v_hotel_history"), "H_NEW", NEW_HOTEL, [F.col("booking_id")]), 8)
 
 
 FEATURES = [

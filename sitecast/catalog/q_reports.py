@@ -140,9 +140,9 @@ PRE = {
 }
 
 
-@query("preprocess_bookings", "SELECT * REPLACE (round(adr, 6) AS adr, round(weekend_ratio, 6) AS weekend_ratio) FROM pre", **PRE)
+@query("preprocess_bookings", "SELECT * REPLACE (round(adr, 8) AS adr, round(weekend_ratio, 8) AS weekend_ratio) FROM pre", **PRE)
 def _(spark, d):
-    return rounded(preprocess_bookings(materialize(view(spark, d, "v_bookings_dup"))))
+    return rounded(preprocess_bookings(materialize(view(spark, d, "v_bookings_dup"))), 8)
 
 
 CUSTOMERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -153,18 +153,18 @@ S_EXPR = SEASON.format(m="arrival_date_month_num")
 
 @query(
     "create_features",
-    f"SELECT * REPLACE (round(adr, 6) AS adr, round(weekend_ratio, 6) AS weekend_ratio), {BAND}, "
-    "round(avg(adr) OVER (PARTITION BY arrival_date_month, hotel), 6) AS avg_price_month_hotel, "
-    "round(adr / avg(adr) OVER (PARTITION BY arrival_date_month, hotel), 6) AS price_ratio, "
+    f"SELECT * REPLACE (round(adr, 8) AS adr, round(weekend_ratio, 8) AS weekend_ratio), {BAND}, "
+    "round(avg(adr) OVER (PARTITION BY arrival_date_month, hotel), 8) AS avg_price_month_hotel, "
+    "round(adr / avg(adr) OVER (PARTITION BY arrival_date_month, hotel), 8) AS price_ratio, "
     + ", ".join(f"coalesce({c} = '{v}', false) AS \"{n}\"" for n, c, v in FLAGS)
     + f", {S_EXPR} AS season, {PEAK.format(m='arrival_date_month_num')} AS is_peak_season, "
     + ", ".join(f"{S_EXPR} = '{s}' AS season_{s}" for s in ("autumn", "spring", "summer", "winter"))
-    + ", round(adr * total_nights, 6) + 0e0 AS total_price FROM pre",
+    + ", round(adr * total_nights, 8) + 0e0 AS total_price FROM pre",
     **PRE,
 )
 def _(spark, d):
     cleaned = materialize(preprocess_bookings(materialize(view(spark, d, "v_bookings_dup"))))
-    return rounded(create_features(cleaned, CUSTOMERS, SEGMENTS))
+    return rounded(create_features(cleaned, CUSTOMERS, SEGMENTS), 8)
 
 
 LOCATION_SQL = (

@@ -97,12 +97,12 @@ def _(spark, d):
 
 @query(
     "group_means",
-    "SELECT arrival_date_month, customer_type, round(avg(adr), 6) AS adr, round(avg(lead_time), 6) AS lead_time, "
-    "round(avg(children), 6) AS children FROM v_bookings GROUP BY 1, 2",
+    "SELECT arrival_date_month, customer_type, round(avg(adr), 8) AS adr, round(avg(lead_time), 8) AS lead_time, "
+    "round(avg(children), 8) AS children FROM v_bookings GROUP BY 1, 2",
 )
 def _(spark, d):
     df = bookings(spark, d).select("arrival_date_month", "customer_type", "adr", "lead_time", "children", "node")
-    return rounded(A.group_means(df, ["arrival_date_month", "customer_type"], ["node"]))
+    return rounded(A.group_means(df, ["arrival_date_month", "customer_type"], ["node"]), 8)
 
 
 @query(
