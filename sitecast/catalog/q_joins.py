@@ -70,6 +70,17 @@ def _(spark, d):
     return rounded(J.distance_edges(view(spark, d, "v_nodes"), "node", "distance", 500.0), 6)
 
 
+@query(
+    "distance_edges_complete",
+    "SELECT a.n AS src, b.n AS dst, round(1 / (abs(a.d - b.d) + 1e-6), 6) AS weight FROM balance a JOIN balance b ON a.n <> b.n",
+    balance="SELECT c_nationkey AS n, CAST(sum(CAST(round(c_acctbal * 1e2) AS BIGINT)) AS DOUBLE) / 1e2 AS d FROM customer GROUP BY c_nationkey",
+)
+def _(spark, d):
+    cents = F.sum(F.round(F.col("c_acctbal") * 1e2).cast("bigint")).cast("double") / F.lit(1e2)
+    nations = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n")).agg(cents.alias("d"))
+    return rounded(J.distance_edges(nations, "n", "d"), 6)
+
+
 @query(
     "complete_edges",
     "SELECT a.n_nationkey AS src, b.n_nationkey AS dst, CASE WHEN a.n_nationkey = b.n_nationkey THEN 2e0 ELSE 1e0 END AS weight FROM nation a CROSS JOIN nation b",

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.operators.ordering import with_positions
@@ -152,18 +152,22 @@ def distance_edges(
     df: DataFrame,
     node: str,
     dist: str,
-    threshold: float,
+    threshold: float | None = None,
     weighted: bool = True,
     pairs_per_task: int = PAIRS_PER_TASK,
+    max_nodes: int = MAX_LITERAL_ROWS,
 ) -> DataFrame:
     """Edges ``(src, dst, weight)`` between different nodes at most ``threshold`` apart.
 
     Nodes fall into buckets one threshold wide; a node meets its own bucket and
-    the two beside it, and a crowded bucket is split.
+    the two beside it, and a crowded bucket is split.  Without a threshold every
+    pair is an edge, which is written out for a node list of checked size only.
     """
+    nodes = one_row_per_node(df, node, dist).filter(F.col(dist).isNotNull())
+    if threshold is None:
+        return _all_distance_edges(nodes, node, dist, weighted, max_nodes)
     if threshold <= 0:
         raise ValueError("threshold must be positive")
-    nodes = one_row_per_node(df, node, dist).filter(F.col(dist).isNotNull())
     bucket = F.floor(F.col(dist) / threshold)
     left = nodes.select(F.col(node).alias("src"), F.col(dist).alias("_da"), bucket.alias("_b"))
     right = nodes.select(
@@ -171,23 +175,36 @@ def distance_edges(
         F.col(dist).alias("_db"),
         F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_b"),
     )
-    gap = F.abs(F.col("_da") - F.col("_db"))
-    weight = F.lit(1.0) / (gap + 1e-6) if weighted else F.lit(1.0)
     return (
         split_hot_join(left, right, ["_b"], pairs_per_task)
-        .filter((gap <= threshold) & (F.col("src") != F.col("dst")))
-        .select("src", "dst", weight.alias("weight"))
+        .filter((_gap() <= threshold) & (F.col("src") != F.col("dst")))
+        .select("src", "dst", _distance_weight(weighted).alias("weight"))
     )
 
 
-def _literal_ids(nodes: DataFrame, node: str, max_nodes: int):
-    ids = [r[0] for r in nodes.select(node).distinct().limit(max_nodes + 1).collect()]
-    if len(ids) > max_nodes:
+def _gap() -> Column:
+    return F.abs(F.col("_da") - F.col("_db"))
+
+
+def _distance_weight(weighted: bool) -> Column:
+    return F.lit(1.0) / (_gap() + 1e-6) if weighted else F.lit(1.0)
+
+
+def _few_rows(nodes: DataFrame, max_nodes: int) -> list:
+    """All rows of a node list, refused above ``max_nodes``."""
+    rows = nodes.limit(max_nodes + 1).collect()
+    if len(rows) > max_nodes:
         raise ValueError(
             f"a complete graph of more than {max_nodes} nodes is not written out; "
             "use graph.complete_propagate, which needs no edges"
         )
-    return F.array(*[F.lit(i) for i in sorted(ids)])
+    return sorted(rows)
+
+
+def _all_distance_edges(nodes: DataFrame, node: str, dist: str, weighted: bool, max_nodes: int) -> DataFrame:
+    far = [F.struct(F.lit(n).alias("dst"), F.lit(v).alias("_db")) for n, v in _few_rows(nodes.select(node, dist), max_nodes)]
+    met = nodes.select(F.col(node).alias("src"), F.col(dist).alias("_da"), F.inline(F.array(*far)))
+    return met.filter(F.col("src") != F.col("dst")).select("src", "dst", _distance_weight(weighted).alias("weight"))
 
 
 def complete_edges(nodes: DataFrame, node: str = "node", self_loops: bool = False, max_nodes: int = MAX_LITERAL_ROWS) -> DataFrame:
@@ -197,7 +214,7 @@ def complete_edges(nodes: DataFrame, node: str = "node", self_loops: bool = Fals
     Its size is the square of the node count, so larger graphs are refused;
     ``graph.complete_propagate`` gives their aggregation without edges.
     """
-    ids = _literal_ids(nodes, node, max_nodes)
+    ids = F.array(*[F.lit(r[0]) for r in _few_rows(nodes.select(node).distinct(), max_nodes)])
     pairs = nodes.select(F.col(node).alias("src")).distinct().withColumn("dst", F.explode(ids))
     if not self_loops:
         return pairs.filter(F.col("src") != F.col("dst")).withColumn("weight", F.lit(1.0))

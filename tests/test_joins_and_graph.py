@@ -56,6 +56,14 @@ def test_distance_edges_equal_brute_force(spark, pairs_per_task):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_distance_edges_without_threshold(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 5.0)], "node int, d double")
+    got = {(r["src"], r["dst"]): r["weight"] for r in J.distance_edges(df, "node", "d", weighted=False).collect()}
+    assert got == {(a, b): 1.0 for a in (1, 2, 3) for b in (1, 2, 3) if a != b}
+    with pytest.raises(ValueError, match="complete graph"):
+        J.distance_edges(df, "node", "d", max_nodes=2)
+
+
 def test_distance_edges_refuse_a_repeated_node(spark):
     df = spark.createDataFrame([(1, 0.0), (1, 1.0)], "node int, d double")
     with pytest.raises(Exception, match="node given twice"):
