@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "events"]
 
@@ -116,8 +117,15 @@ def with_views(sql: str, ctes: dict[str, str] | None = None) -> str:
     return f"WITH {', '.join(parts)}\n{sql}" if parts else sql
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of a given table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,6 +8,7 @@ adaptive execution, which also splits a skewed partition of the larger side.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.operators.ordering import with_positions
+from sitecast.session import materialize
 
 DEGREE_KM = 111.0
 PAIRS_PER_TASK = 5_000_000
@@ -44,28 +46,40 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], pairs
     """Inner join on ``keys`` in which no key pairs more than about ``pairs_per_task`` rows per task.
 
     Byte-based skew handling misses a key whose rows are few but whose pairs are
-    many.  Here the pairs of a key are known from two counts; a key above the
-    limit has its left rows dealt to several splits and its right rows repeated
-    once per split, so every pair is still met exactly once.
+    many.  Here the pairs of a key are known from two counts.  A key above the
+    limit has its left rows dealt to ``a`` parts and its right rows to ``b``
+    parts, and every part of one side meets every part of the other, so each
+    pair is still met exactly once and each task holds about the square root of
+    the limit in rows of either side.  Both sides are read again for the counts,
+    so give stored tables or cheap steps over them.
     """
     keys = list(keys)
+    side = math.sqrt(pairs_per_task)
     loads = (
-        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l"))
-        .join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_r")), keys)
-        .select(*keys, F.ceil(F.col("_l").cast("double") * F.col("_r") / pairs_per_task).cast("int").alias("_splits"))
-        .filter(F.col("_splits") > 1)
+        left.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_l"))
+        .join(right.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_r")), keys)
+        .filter(F.col("_l") * F.col("_r") > pairs_per_task)
+        .withColumn("_nb", F.ceil(F.col("_r") / side))
+        .select(*keys, F.ceil(F.col("_l") * F.col("_r") / F.col("_nb") / pairs_per_task).alias("_na"), "_nb")
     )
-    n = F.coalesce("_splits", F.lit(1))
-    dealt = left.join(loads, keys, "left").withColumn(
-        "_split", F.pmod(F.xxhash64(*left.columns), n).cast("int")
-    ).drop("_splits")
-    repeated = right.join(loads, keys, "left").withColumn(
-        "_split", F.explode(F.sequence(F.lit(0), n - 1))
-    ).drop("_splits")
-    return dealt.join(repeated, [*keys, "_split"]).drop("_split")
+    if loads.isEmpty():
+        return left.join(right, keys)
+    loads = materialize(loads)
+    na, nb = F.coalesce("_na", F.lit(1)), F.coalesce("_nb", F.lit(1))
+
+    def dealt(rows: DataFrame, mine: str, parts: Column, other: str, copies: Column) -> DataFrame:
+        return (
+            rows.join(loads, keys, "left")
+            .withColumn(mine, F.pmod(F.xxhash64(*rows.columns), parts))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+            .drop("_na", "_nb")
+        )
+
+    met = dealt(left, "_a", na, "_b_part", nb).join(dealt(right, "_b_part", nb, "_a", na), [*keys, "_a", "_b_part"])
+    return met.drop("_a", "_b_part")
 
 
-def _points(df: DataFrame, lat: str, lon: str, prefix: str):
+def _points(lat: str, lon: str, prefix: str) -> tuple[Column, Column]:
     return F.col(lat).alias(f"{prefix}y"), F.col(lon).alias(f"{prefix}x")
 
 
@@ -81,21 +95,22 @@ def poi_counts_long(
 ) -> DataFrame:
     """Rows ``(lat, lon, amenity, n)``: points of each kind around each distinct site position.
 
-    Copies are merged on both sides first: sites to distinct positions, points
-    to one row per (position, kind) with a count.  The grid cell is one radius
+    Copies are merged on both sides first, and the merged sides stored: sites to
+    distinct positions, points to one row per (position, kind) with a count.  The grid cell is one radius
     wide, so a site meets only its own cell and the eight around it.  The
     circle is closed: a point exactly at the radius counts.
     """
     r = radius_km / DEGREE_KM * units_per_degree
     spots = pois.filter(F.col(amenity).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull())
     spots = (
-        spots.groupBy(F.col(amenity).alias("amenity"), *_points(spots, lat, lon, "p"))
-        .agg(F.count(F.lit(1)).alias("copies"))
+        materialize(
+            spots.groupBy(F.col(amenity).alias("amenity"), *_points(lat, lon, "p")).agg(F.count(F.lit(1)).alias("copies"))
+        )
         .withColumns({"cy": F.floor(F.col("py") / r), "cx": F.floor(F.col("px") / r)})
     )
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
     places = (
-        sites.select(*_points(sites, lat, lon, "s")).na.drop().distinct()
+        materialize(sites.select(*_points(lat, lon, "s")).na.drop().distinct())
         .withColumn("dy", F.explode(around))
         .withColumn("dx", F.explode(around))
         .withColumns({"cy": F.floor(F.col("sy") / r) + F.col("dy"), "cx": F.floor(F.col("sx") / r) + F.col("dx")})
@@ -168,6 +183,7 @@ def distance_edges(
         return _all_distance_edges(nodes, node, dist, weighted, max_nodes)
     if threshold <= 0:
         raise ValueError("threshold must be positive")
+    nodes = materialize(nodes)
     bucket = F.floor(F.col(dist) / threshold)
     left = nodes.select(F.col(node).alias("src"), F.col(dist).alias("_da"), bucket.alias("_b"))
     right = nodes.select(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sitecast.functions.bookings import guest_features, interaction_features, lead_time_band, price_ratio, stay_features
 from sitecast.functions.dates import SEASONS, compose_date, date_parts, month_number, season_features

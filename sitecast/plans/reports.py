@@ -11,7 +11,7 @@ from sitecast.operators.ranking import top_n
 from sitecast.operators.summary import (
     categorical_summary, column_means_ranked, datetime_summary, histogram, numeric_summary, regression_metrics, target_correlations,
 )
-from sitecast.operators.timeseries import resample_mean, rolling_mean, seasonal_decompose, series_by_category
+from sitecast.operators.timeseries import resample_mean, rolling_mean, seasonal_decompose
 
 
 def actual_vs_predicted(df: DataFrame, y: str = "actual", yhat: str = "prediction") -> DataFrame:

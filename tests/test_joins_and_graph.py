@@ -73,8 +73,11 @@ def test_distance_edges_refuse_a_repeated_node(spark):
 def test_hot_key_is_split_and_pairs_are_whole(spark):
     left = spark.range(300).select(F.lit(1).alias("k"), F.col("id").alias("a"))
     right = spark.range(40).select(F.lit(1).alias("k"), F.col("id").alias("b"))
-    out = J.split_hot_join(left, right, ["k"], pairs_per_task=1_000)
-    assert out.count() == 12_000 and out.distinct().count() == 12_000
+    for limit in (100, 1_000, 11_000):
+        out = J.split_hot_join(left, right, ["k"], pairs_per_task=limit)
+        assert out.count() == 12_000 and out.distinct().count() == 12_000
+    tasks = J.split_hot_join(left, right, ["k"], pairs_per_task=1_000).groupBy(F.spark_partition_id()).count()
+    assert tasks.count() > 1 and tasks.agg(F.max("count")).first()[0] < 12_000
 
 
 def test_nearest(spark):
