@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.llm import ngram_join
+from sitecast.llm import decontam, html_text, langid, lines, mixing, ngram_join, pii, quality, tokens, warc
 from sitecast.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,8 +19,78 @@ def query(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer of the token contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_pii_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.train_tagger(docs))
+
+
 @query
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle-set size and component of every document."""
     out = ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query
+def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed from every document, and a digest of what is left."""
+    out = lines.dedupe_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    out = mixing.mix(table(spark, sf_dir, "documents"), mixing.quality_weights(table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    return tokens.checksums(tokens.through_files(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    out = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_match", "n_window")
+
+
+@query
+def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality figures and verdict of every document."""
+    out = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.drop("text")
+
+
+@query
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits in a crawl of the pages, and the responses they stand for."""
+    raw = warc.captures(table(spark, sf_dir, "pages"))
+    return warc.resolve_revisits(warc.parse_records(raw))
+
+
+@query
+def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
+    out = langid.predict(docs, langid.train(docs.where(~held)))
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")

@@ -54,15 +54,15 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word, and the number of words before each row.
 
-    Words are runs of bytes other than 0x20 and 0x09-0x0D; A-Z count as a-z.  A
-    word's hash is the sum of its bytes times position multipliers, mixed with
-    its length.
+    Words are runs of bytes other than 0x20 and 0x09-0x0D; with ``fold`` A-Z count
+    as a-z.  A word's hash is the sum of its bytes times position multipliers,
+    mixed with its length.
     """
     upper = (data >= 65) & (data <= 90)
-    lower = np.where(upper, data + np.uint8(32), data)
+    lower = np.where(upper, data + np.uint8(32), data) if fold else data
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     first = inside.copy()
     first[1:] &= ~inside[:-1]
