@@ -15,8 +15,8 @@ intersected.
 3. Rows (token, node) meet by token.  Every node of a token is compared with the
    token's least node only, which joins groups of near copies at linear cost.
 4. What is still apart is compared in full: all pairs of nodes that share a
-   prefix token and lie in different components so far, with the number of
-   shared prefix tokens bounding the overlap from above.
+   prefix token and lie in different components so far, less those whose shared
+   tokens come too late or are too few.
 5. Verified links give components; documents get the least ``doc_id``.
 
 Shingles are 64-bit hashes; a node's fingerprint mixes all of them and their
@@ -41,6 +41,8 @@ from sitecast.session import materialize
 NUM, DEN = 75, 100
 #: One salt for each global order.
 ORDERS = (0x51ED270B0A1F39C1, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)
+#: Tokens that pairs still apart must share before their cuts, as a share of both sizes.
+MARGIN = 0.015
 BLOCK = 1 << 16
 
 
@@ -192,7 +194,9 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     stored = _stored_prefixes(docs, key, text, classes)
 
     # Rows (token, node) of tokens that two nodes share, with the least of its nodes.
-    rows = stored.select("node", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
+    # ``spot`` packs the set size and the token's place in the prefix.
+    rows = stored.select("node", "n", F.posexplode("prefix").alias("i", "token"))
+    rows = rows.select("token", "node", (F.shiftleft("n", 32) + F.col("i")).alias("spot"))
     by_token = Window.partitionBy("token")
     shared = materialize(
         rows.withColumns({"lead": F.min("node").over(by_token), "_last": F.max("node").over(by_token)})
@@ -210,26 +214,34 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = materialize(found.groupBy("node").agg(F.min("text").alias("text")) if _repeats(stored) else found.select("node", "text"))
 
     # Links to the least node of a token, and the components that they give.
-    near = F.col("src_n") * DEN >= F.col("dst_n") * NUM
-    sizes = stored.where("node is not null").groupBy("node").agg(F.max("n").cast("int").alias("n"))
-    stars = shared.where("node <> lead").select(F.col("node").alias("src"), F.col("lead").alias("dst"), F.col("n").alias("src_n")).distinct()
-    stars = stars.join(sizes.select(F.col("node").alias("dst"), F.col("n").alias("dst_n")), "dst")
-    stars = materialize(stars.where(near & (F.col("dst_n") * DEN >= F.col("src_n") * NUM)).select("src", "dst"))
+    near = (F.col("src_n") * DEN >= F.col("dst_n") * NUM) & (F.col("dst_n") * DEN >= F.col("src_n") * NUM)
+    sizes = stored.where("node is not null").groupBy("node").agg(F.max("n").alias("n"))
+    stars = shared.where("node <> lead").select(F.col("node").alias("src"), F.col("lead").alias("dst"), F.shiftright("spot", 32).alias("src_n"))
+    stars = stars.distinct().join(sizes.select(F.col("node").alias("dst"), F.col("n").alias("dst_n")), "dst")
+    stars = materialize(stars.where(near).select("src", "dst"))
     links = _verify(stars, texts, classes)
     parts = connected_components(links)
 
-    # Pairs still apart: at most ``c + max(rest)`` tokens in common, where ``c``
-    # counts shared prefix tokens and ``rest`` what lies behind a prefix.
-    apart = shared.select("token", "node", "n").distinct().join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    # Pairs still apart.  A link needs ``least`` common tokens.  Cut both sets behind
+    # their first ``n - least + some`` tokens: the cut that comes first leaves at most
+    # ``least - some`` tokens of its set behind it, so linked sets share ``some``
+    # tokens before both cuts.
+    apart = shared.select("token", "node", "spot").distinct().join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     tokens = apart.groupBy("token").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("token")
-    apart = materialize(apart.join(tokens, "token", "left_semi").select("token", "node", "part", "n"))
-    x = apart.select("token", F.col("node").alias("src"), F.col("part").alias("p"), F.col("n").alias("src_n"))
-    y = apart.select("token", F.col("node").alias("dst"), F.col("part").alias("q"), F.col("n").alias("dst_n"))
-    met = x.join(y, "token").where((F.col("p") < F.col("q")) & near & (F.col("dst_n") * DEN >= F.col("src_n") * NUM))
+    apart = materialize(apart.join(tokens, "token", "left_semi").select("token", "node", "part", "spot"))
+
+    def side(node: str, part: str) -> DataFrame:
+        n, place = F.shiftright("spot", 32), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))
+        return apart.select("token", F.col("node").alias(node), F.col("part").alias(part), n.alias(node + "_n"), place.alias(node + "_i"))
+
+    n, m = F.col("src_n"), F.col("dst_n")
+    least = F.floor(((n + m) * NUM + NUM + DEN - 1) / F.lit(NUM + DEN))
+    behind = lambda n: F.floor((n * NUM - 1) / F.lit(DEN))  # noqa: E731  tokens behind the stored prefix
+    some = F.least(1 + F.floor((n + m) * MARGIN), least - behind(n), least - behind(m))
+    front = (F.col("src_i") < n - least + some) & (F.col("dst_i") < m - least + some)
+    met = side("src", "p").join(side("dst", "q"), "token").where((F.col("p") < F.col("q")) & near & front)
     met = met.groupBy("src", "dst", "src_n", "dst_n").agg(F.count("*").alias("c"))
-    least = F.ceil((F.col("src_n") + F.col("dst_n")) * F.lit(NUM) / F.lit(NUM + DEN))
-    rest = lambda n: F.floor((F.col(n) * NUM - 1) / F.lit(DEN))  # noqa: E731  n less its prefix
-    more = met.where(F.col("c") + F.greatest(rest("src_n"), rest("dst_n")) >= least).select("src", "dst")
+    more = met.where(F.col("c") >= some).select("src", "dst")
     more = more.join(stars, ["src", "dst"], "left_anti").join(
         stars.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"], "left_anti"
     )
