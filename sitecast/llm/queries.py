@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.llm import decontam, html_text, langid, lines, mixing, ngram_join, pii, quality, tokens, warc
+from sitecast.llm import decontam, html_text, langid, lines, mixing, ngram_join, oracles, pii, quality, tokens, warc
 from sitecast.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op3_line_windows": oracles.LINE_WINDOWS,
+    "op4_mix_sources": oracles.MIX_SOURCES,
+    "op7_spaced_seeds": oracles.SPACED_SEEDS,
+}
 
 
 def query(fn):
