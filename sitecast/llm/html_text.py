@@ -262,13 +262,16 @@ def paired_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page:
 
 
 def shared_lines(pairs: DataFrame) -> DataFrame:
-    """``(page, hash, shared)``: places of the lines that a page shares with its nearest page."""
+    """``(page, hash, shared)``: places of the lines that a page shares with its nearest page.
+
+    A copy of the page says nothing about its site and counts as sharing none.
+    """
     kind = dict(pairs.dtypes)["page"]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            found = [common_lines(a, b) if a and b else [] for a, b in both]
+            found = [common_lines(a, b) if a and b and a != b else [] for a, b in both]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], names=["page", "hash", "shared"])
 
     return pairs.mapInArrow(align, f"page {kind}, hash long, shared array<int>")
