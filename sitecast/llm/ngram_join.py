@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.llm.components import connected_components
@@ -178,6 +178,21 @@ def _verify(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
     return materialize(met.mapInArrow(check, "src long, dst long"))
 
 
+def _spot(col: str) -> tuple[Column, Column]:
+    """Set size and place that a column packs."""
+    return F.shiftright(col, 32), F.col(col).bitwiseAND(F.lit((1 << 32) - 1))
+
+
+def _alike(n: Column, m: Column) -> Column:
+    """Whether sets of these sizes can link."""
+    return (n * DEN >= m * NUM) & (m * DEN >= n * NUM)
+
+
+def _least(n: Column, m: Column) -> Column:
+    """Tokens that linked sets of these sizes have in common at least."""
+    return F.floor(((n + m) * NUM + NUM + DEN - 1) / F.lit(NUM + DEN))
+
+
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, hash, n, node, root, component)`` of each row of ``docs``.
 
@@ -193,16 +208,18 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = spark.sparkContext.broadcast(frequency_classes(docs, text, bits))
     stored = _stored_prefixes(docs, key, text, classes)
 
-    # Rows (token, node) of tokens that two nodes share, with the least of its nodes.
-    # ``spot`` packs the set size and the token's place in the prefix.
+    # Rows (token, node) of tokens that two nodes share.  ``spot`` packs the set size
+    # and the token's place in the prefix; ``lead`` is the token's least node where
+    # this may be the first token that both share.
     rows = stored.select("node", "n", F.posexplode("prefix").alias("i", "token"))
     rows = rows.select("token", "node", (F.shiftleft("n", 32) + F.col("i")).alias("spot"))
     by_token = Window.partitionBy("token")
-    shared = materialize(
-        rows.withColumns({"lead": F.min("node").over(by_token), "_last": F.max("node").over(by_token)})
-        .where("lead <> _last")
-        .drop("_last")
-    )
+    met = rows.withColumns({"_lead": F.min(F.struct("node", "spot")).over(by_token), "_last": F.max("node").over(by_token)})
+    met = met.where("_lead.node <> _last")
+    n, i = _spot("spot")
+    m, j = _spot("_lead.spot")
+    first = (F.col("node") != F.col("_lead.node")) & _alike(n, m) & (i <= n - _least(n, m)) & (j <= m - _least(n, m))
+    shared = materialize(met.select("token", "node", "spot", F.when(first, F.col("_lead.node")).alias("lead")))
 
     # The texts of nodes that share a token with another: one row each.
     inside = shared.select("node").distinct()
@@ -214,11 +231,8 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     texts = materialize(found.groupBy("node").agg(F.min("text").alias("text")) if _repeats(stored) else found.select("node", "text"))
 
     # Links to the least node of a token, and the components that they give.
-    near = (F.col("src_n") * DEN >= F.col("dst_n") * NUM) & (F.col("dst_n") * DEN >= F.col("src_n") * NUM)
-    sizes = stored.where("node is not null").groupBy("node").agg(F.max("n").alias("n"))
-    stars = shared.where("node <> lead").select(F.col("node").alias("src"), F.col("lead").alias("dst"), F.shiftright("spot", 32).alias("src_n"))
-    stars = stars.distinct().join(sizes.select(F.col("node").alias("dst"), F.col("n").alias("dst_n")), "dst")
-    stars = materialize(stars.where(near).select("src", "dst"))
+    stars = shared.where("lead is not null").select(F.col("node").alias("src"), F.col("lead").alias("dst"))
+    stars = materialize(stars.distinct())
     links = _verify(stars, texts, classes)
     parts = connected_components(links)
 
@@ -230,16 +244,15 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     tokens = apart.groupBy("token").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("token")
     apart = materialize(apart.join(tokens, "token", "left_semi").select("token", "node", "part", "spot"))
 
-    def side(node: str, part: str) -> DataFrame:
-        n, place = F.shiftright("spot", 32), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))
+    def ends(node: str, part: str) -> DataFrame:
+        n, place = _spot("spot")
         return apart.select("token", F.col("node").alias(node), F.col("part").alias(part), n.alias(node + "_n"), place.alias(node + "_i"))
 
     n, m = F.col("src_n"), F.col("dst_n")
-    least = F.floor(((n + m) * NUM + NUM + DEN - 1) / F.lit(NUM + DEN))
     behind = lambda n: F.floor((n * NUM - 1) / F.lit(DEN))  # noqa: E731  tokens behind the stored prefix
-    some = F.least(1 + F.floor((n + m) * MARGIN), least - behind(n), least - behind(m))
-    front = (F.col("src_i") < n - least + some) & (F.col("dst_i") < m - least + some)
-    met = side("src", "p").join(side("dst", "q"), "token").where((F.col("p") < F.col("q")) & near & front)
+    some = F.least(1 + F.floor((n + m) * MARGIN), _least(n, m) - behind(n), _least(n, m) - behind(m))
+    front = (F.col("src_i") < n - _least(n, m) + some) & (F.col("dst_i") < m - _least(n, m) + some)
+    met = ends("src", "p").join(ends("dst", "q"), "token").where((F.col("p") < F.col("q")) & _alike(n, m) & front)
     met = met.groupBy("src", "dst", "src_n", "dst_n").agg(F.count("*").alias("c"))
     more = met.where(F.col("c") >= some).select("src", "dst")
     more = more.join(stars, ["src", "dst"], "left_anti").join(
