@@ -10,6 +10,7 @@ inside it and ``start`` the ids before it inside the part; the sizes of the part
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -21,18 +22,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sitecast.llm.text import chunks, utf8
 from sitecast.session import shared_dir
 
 #: Pieces longer than this are encoded but not remembered.
 PIECE = 64
-#: Remembered pieces of a task; beyond that its memory starts anew.
+#: Remembered pieces of a worker; beyond that it keeps only the frequent ones.
 PIECES = 400_000
-#: Documents encoded together, by their characters.
-BATCH_CHARS = 1 << 20
+#: Uses after which a piece is kept when the memory is cleared.
+OFTEN = 3
+#: Pieces handed to the tokenizer at once, and bytes of text taken apart at once.
+PIECES_AT_ONCE = 2_000
+BATCH_BYTES = 1 << 18
 #: A single space between two characters that are no white space: the tokenizer
 #: always starts a piece there, so the texts on both sides are encoded alone.
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"  |\s |^ | \s| $|\A | \Z")
+#: All characters that count as white space.
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+
+
+def pieces_of(text: str) -> list[str]:
+    """``text`` cut at its joints, without their spaces."""
+    edges = text[:1] == " " or text[-1:] == " "
+    for space in _SPACES[:10] if text.isascii() else _SPACES:
+        if edges:
+            break
+        edges = space in text and (space + " " in text or " " + space in text)
+    return _JOINT.split(text) if edges else text.split(" ")
 
 
 class PieceEncoder:
@@ -46,37 +62,88 @@ class PieceEncoder:
         self.numbers: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int32)
         self.used = self.count = 0
 
+    def _forget(self) -> None:
+        """Keep the pieces that came often since the last time."""
+        old, flat, ends, uses = self.numbers, self.flat, self.ends, self.uses
+        self._reset()
+        keep = [(piece, n) for piece, n in old.items() if uses[n] >= OFTEN]
+        sizes = np.array([ends[n + 1] - ends[n] for _, n in keep], np.int64)
+        ids = [flat[ends[n] : ends[n + 1]] for _, n in keep]
+        if keep and len(keep) <= PIECES // 2:
+            self._put([piece for piece, _ in keep], np.concatenate(ids), sizes)
+
+    def _put(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(pieces) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.ends[self.count + 1 : self.count + 1 + len(pieces)] = self.used + np.cumsum(sizes)
+        self.numbers.update(zip(pieces, range(self.count, self.count + len(pieces)), strict=True))
+        self.used += len(ids)
+        self.count += len(pieces)
+
     def _add(self, pieces: list[str]) -> None:
-        for piece, got in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False), strict=True):
-            ids = got.ids
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if self.count + 1 >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.numbers[piece] = self.count
-            self.count += 1
-            self.ends[self.count] = self.used
+        """Encode pieces; those that start at a joint go through the tokenizer as one text."""
+        joined = [x for x in pieces if x[:1] == " "]
+        for first in range(0, len(joined), PIECES_AT_ONCE):
+            some = joined[first : first + PIECES_AT_ONCE]
+            lengths = np.fromiter(map(len, some), np.int64, len(some))
+            got = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            # Each token starts inside the piece that it belongs to.
+            starts = np.fromiter((x[0] for x in got.offsets), np.int64, len(got))
+            owner = np.searchsorted(np.cumsum(lengths), starts, "right")
+            self._put(some, np.array(got.ids, np.int32), np.bincount(owner, minlength=len(some)))
+        for piece in pieces:
+            if piece[:1] != " ":
+                ids = np.array(self.tokenizer.encode(piece[1:], add_special_tokens=False).ids, np.int32)
+                self._put([piece], ids, np.array([len(ids)]))
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of ids of each."""
-        if self.count > PIECES:
-            self._reset()
-        if "" not in self.numbers:
-            self._add([""])
-        pieces, counts = [], []
+        if self.count > PIECES or self.used > 8 * PIECES:
+            self._forget()
+        pieces, counts = [], []  # the first piece of a text is marked by a leading NUL
         for text in texts:
-            parts = _JOINT.split(text) if _ODD.search(text) else text.split(" ")
-            pieces.append(parts[0])
+            parts = pieces_of(text)
+            pieces.append("\0" + parts[0])
             pieces.extend([" " + x for x in parts[1:]])
             counts.append(len(parts))
         known = self.numbers
         new = [x for x in dict.fromkeys(pieces) if x not in known]
         self._add(new)
         numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[: self.count] += np.bincount(numbers, minlength=self.count).astype(np.int32)
+        starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
+        sums = np.cumsum(sizes)
+        at = np.arange(sums[-1] if len(sums) else 0) - np.repeat(sums - sizes, sizes) + np.repeat(starts, sizes)
+        of_text = np.add.reduceat(sizes, np.cumsum([0] + counts[:-1])) if texts else np.zeros(0, np.int64)
+        ids = np.insert(self.flat[at], np.cumsum(of_text), end) if texts else np.zeros(0, np.int32)
+        for x in new:
+            if len(x) > PIECE:
+                del known[x]
+        return ids.astype(np.int32), of_text + 1
+
+
+def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by ``end``, and the number of ids of each."""
+        if self.count > PIECES or self.used > 8 * PIECES:
+            self._forget()
+        pieces, counts = [], []  # the first piece of a text is marked by a leading NUL
+        for text in texts:
+            parts = pieces_of(text)
+            pieces.append("\0" + parts[0])
+            pieces.extend([" " + x for x in parts[1:]])
+            counts.append(len(parts))
+        known = self.numbers
+        new = [x for x in dict.fromkeys(pieces) if x not in known]
+        self._add(new)
+        numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[: self.count] += np.bincount(numbers, minlength=self.count).astype(np.int32)
         starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
         sums = np.cumsum(sizes)
         at = np.arange(sums[-1] if len(sums) else 0) - np.repeat(sums - sizes, sizes) + np.repeat(starts, sizes)
@@ -85,8 +152,6 @@ class PieceEncoder:
         for x in new:
             if len(x) > PIECE:
                 del known[x]
-        if self.used > 8 * PIECES:
-            self._reset()
         return ids.astype(np.int32), of_text + 1
 
 
@@ -101,6 +166,19 @@ def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def _encoder(path: str) -> PieceEncoder:
+    """This worker's encoder of a tokenizer file; its memory serves all its tasks."""
+    if path not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        _ENCODERS[path] = PieceEncoder(Tokenizer.from_file(path))
+    return _ENCODERS[path]
+
+
 def encode(docs: DataFrame, tokenizer: str, end: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, part, place, start, n_tokens, ids)`` in ascending order of the key.
 
@@ -110,14 +188,11 @@ def encode(docs: DataFrame, tokenizer: str, end: int = 0, key: str = "doc_id", t
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        encoder = PieceEncoder(Tokenizer.from_file(tokenizer))
+        encoder = _encoder(tokenizer)
         part, place, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
-                ids, counts = encoder.encode(texts[a:b], end)
+            for a, b in chunks(utf8(batch.column(1))[1], BATCH_BYTES):
+                ids, counts = encoder.encode([x or "" for x in batch.column(1).slice(a, b - a).to_pylist()], end)
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 n = b - a
                 yield pa.RecordBatch.from_arrays(
