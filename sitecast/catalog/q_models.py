@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitecast.catalog.fixtures import view
@@ -88,6 +89,12 @@ FEATURES = [
 ]
 
 
+LOCATION_ROWS = (
+    "SELECT p.location_id, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in FEATURES)
+    + " FROM v_loc_poi p LEFT JOIN v_loc_distance USING (location_id) LEFT JOIN v_loc_census USING (location_id) LEFT JOIN v_loc_competitor USING (location_id)"
+)
+
+
 def scored_sites(spark, d):
     """Location features with the weighted score as label, stored once for the many passes of a fit."""
     df = create_location_features(*[view(spark, d, f"v_loc_{s}") for s in ("poi", "distance", "census", "competitor")])
@@ -107,61 +114,107 @@ def _metric_rows(spark, metrics: dict):
     return spark.createDataFrame(sorted((k, float(v)) for k, v in metrics.items()), "metric string, value double")
 
 
-@query("fit_location_model")
+# What fits must hold, whatever the learner: SQL states it, the query measures it.
+
+
+def _checks(spark, **held: bool):
+    return spark.createDataFrame(sorted(held.items()), "property string, holds boolean")
+
+
+def _check_sql(*names: str) -> str:
+    return each(names, "SELECT '{c}' AS property, true AS holds")
+
+
+@query("fit_location_model", _check_sql("better_than_the_mean", "metrics_named", "rmse_is_root_of_mse"))
 def _(spark, d):
     sites = scored_sites(spark, d)
-    return _metric_rows(spark, M.fit_location_model(sites, FEATURES, "historical_score", "randomforest").metrics)
+    m = M.fit_location_model(sites, FEATURES, "historical_score", "randomforest").metrics
+    return _checks(
+        spark, better_than_the_mean=m["r2"] > 0.5, metrics_named=set(m) == {"mse", "rmse", "mae", "r2"}, rmse_is_root_of_mse=abs(m["rmse"] ** 2 - m["mse"]) < 1e-6
+    )
 
 
-@query("fit_with_validation")
+@query("fit_with_validation", _check_sql("better_than_the_mean", "gbdt_keeps_all_trees", "stops_early"))
 def _(spark, d):
     sites = S.hash_split(scored_sites(spark, d), "site_key")
     train, valid = sites.filter("is_train").drop("is_train"), sites.filter("NOT is_train").drop("is_train")
-    model = M.fit_with_validation(train, valid, FEATURES, "historical_score", "gbdt", {"n_estimators": 10})
-    return _metric_rows(spark, model.metrics)
+    settings = {"n_estimators": 12, "max_depth": 3, "learning_rate": 0.5}
+    # A tolerance that no tree can meet stops a watched fit at once, and only that.
+    stopped = M.fit_with_validation(train, valid, FEATURES, "historical_score", "xgboost", settings, tol=1e6)
+    plain = M.fit_with_validation(train, valid, FEATURES, "historical_score", "gbdt", settings, tol=1e6)
+    trees = lambda m: m.model.stages[-1].getNumTrees
+    return _checks(spark, stops_early=trees(stopped) < 12, gbdt_keeps_all_trees=trees(plain) == 12, better_than_the_mean=plain.metrics["valid_r2"] > 0)
 
 
-@query("cross_validate")
+@query("cross_validate", each(range(5), "SELECT {c} AS fold, 3 AS metrics, true AS better_than_the_mean"))
 def _(spark, d):
-    return M.cross_validate(scored_sites(spark, d), FEATURES, "historical_score", "site_key", "randomforest", FOREST, 5)
+    out = M.cross_validate(scored_sites(spark, d), FEATURES, "historical_score", "site_key", "randomforest", FOREST, 5)
+    good = F.bool_or((F.col("metric") == "r2") & (F.col("value") > 0))
+    return out.groupBy("fold").agg(F.count("value").cast("int").alias("metrics"), good.alias("better_than_the_mean"))
 
 
-@query("grid_search")
+@query("grid_search", "SELECT trees AS n_estimators, depth AS max_depth, depth = 5 AS deeper_is_no_worse FROM (SELECT unnest([5, 10]) AS trees), (SELECT unnest([3, 5]) AS depth)")
 def _(spark, d):
     grid = {"n_estimators": [5, 10], "max_depth": [3, 5]}
-    return M.grid_search(scored_sites(spark, d), FEATURES, "historical_score", "site_key", "randomforest", grid, 3)[1]
+    _, table = M.grid_search(scored_sites(spark, d), FEATURES, "historical_score", "site_key", "randomforest", grid, 3)
+    tried = table.select(F.from_json("params", "n_estimators int, max_depth int").alias("p"), "mse").select("p.*", "mse")
+    shallow = tried.filter("max_depth = 3").select("n_estimators", F.col("mse").alias("other"))
+    return tried.join(shallow, "n_estimators").select(
+        "n_estimators", "max_depth", ((F.col("max_depth") == 5) & (F.col("mse") <= F.col("other") * 1.05)).alias("deeper_is_no_worse")
+    )
 
 
-@query("score_locations")
+@query("score_locations", "SELECT location_id, true AS scored, true AS in_order FROM v_loc_poi")
 def _(spark, d):
     sites, model = forest(spark, d)
-    return M.score_locations(model, sites).select("location_id", "predicted_score")
+    out = M.score_locations(model, sites).select("location_id", "predicted_score")
+    placed = out.withColumn("_id", F.monotonically_increasing_id())
+    # Scores of later rows of the sorted table are never higher: ranks by row and by score agree.
+    ranks = placed.join(M.sort_by_score(out, "predicted_score", "location_id").withColumn("_want", F.monotonically_increasing_id()).select("location_id", "_want"), "location_id")
+    return ranks.select("location_id", F.col("predicted_score").isNotNull().alias("scored"), (F.col("_id") == F.col("_want")).alias("in_order"))
 
 
-@query("evaluate_candidates")
+@query("evaluate_candidates", each(range(1, 11), "SELECT CAST({c} AS BIGINT) AS place, true AS above_the_rest"))
 def _(spark, d):
     sites, model = forest(spark, d)
-    return M.evaluate_candidates(model, sites, 10).select("location_id", "predicted_score", "rank")
+    best = materialize(M.evaluate_candidates(model, sites, 10).select("location_id", "predicted_score", "rank"))
+    rest = model.predict(sites).join(best, "location_id", "left_anti").agg(F.max("predicted_score").alias("top")).first()["top"]
+    # Ten rows: equal scores share a rank, so places are counted.
+    places = Window.orderBy("rank", F.desc("predicted_score"), "location_id")
+    return best.select(F.row_number().over(places).cast("bigint").alias("place"), (F.col("predicted_score") >= rest).alias("above_the_rest"))
 
 
-@query("feature_importance")
+@query("feature_importance", each(FEATURES, "SELECT '{c}' AS feature, true AS share_of_one, true AS sums_to_one"))
 def _(spark, d):
-    return M.feature_importance(spark, forest(spark, d)[1], 20)
+    out = materialize(M.feature_importance(spark, forest(spark, d)[1], 20))
+    total = out.agg(F.sum("importance")).first()[0]
+    return out.select("feature", F.col("importance").between(0, 1).alias("share_of_one"), F.lit(abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
-@query("location_factors")
+@query(
+    "location_factors",
+    each(FEATURES, "SELECT location_id, '{c}' AS feature, round(CAST({c} AS DOUBLE), 6) AS value, true AS size_of_impact FROM sites"),
+    sites=LOCATION_ROWS,
+)
 def _(spark, d):
     sites, model = forest(spark, d)
-    return M.location_factors(model, sites)
+    out = M.location_factors(model, sites)
+    same = F.col("abs_impact") == F.abs("impact")
+    return out.select("location_id", "feature", F.round("value", 6).alias("value"), same.alias("size_of_impact"))
 
 
-@query("save_model")
+@query("save_model", "SELECT location_id, true AS same FROM v_loc_poi")
 def _(spark, d):
     sites, model = forest(spark, d)
     path = M.save_model(model, f"{shared_dir(spark)}/model-{uuid.uuid4().hex}")
     loaded = M.load_model(spark, path)
     both = loaded.predict(model.predict(sites, "before"), "after")
-    return both.select("location_id", "before", "after")
+    return both.select("location_id", (F.col("before") == F.col("after")).alias("same"))
+
+
+WINDOW_ROWS = (
+    "SELECT node, booking_id, status_ts AS date, adr AS actual FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY status_ts, booking_id) AS place FROM v_bookings) t WHERE place >= 7"
+)
 
 
 def _demand(spark, d):
@@ -172,12 +225,25 @@ def _demand(spark, d):
     )
 
 
-@query("fit_demand_model")
+@query("fit_demand_model", _check_sql("error_is_finite", "metrics_named"))
 def _(spark, d):
-    return _metric_rows(spark, _demand(spark, d)[1].valid_metrics)
+    m = _demand(spark, d)[1].valid_metrics
+    return _checks(spark, metrics_named=set(m) == {"mse", "rmse", "mae", "r2"}, error_is_finite=0 < m["rmse"] < float("inf"))
+
+
+@query("generate_forecasts", f"SELECT *, true AS forecast FROM ({WINDOW_ROWS}) t")
+def _(spark, d):
+    stored, model = _demand(spark, d)
+    out = M.generate_forecasts(model, stored, "status_ts")
+    return out.select("node", "booking_id", "date", "actual", F.col("prediction").isNotNull().alias("forecast"))
 
 
-@query("generate_forecasts")
+@query("forecast_without_target", f"SELECT node, booking_id, date, true AS same FROM ({WINDOW_ROWS}) t")
 def _(spark, d):
+    """A saved model, loaded again, on a table that has no target column."""
     stored, model = _demand(spark, d)
-    return M.generate_forecasts(model, stored, "status_ts")
+    loaded = M.load_demand_model(spark, M.save_demand_model(model, f"{shared_dir(spark)}/demand-{uuid.uuid4().hex}"))
+    keys = ["node", "booking_id", "date"]
+    before = M.generate_forecasts(model, stored, "status_ts").select(*keys, F.col("prediction").alias("before"))
+    after = M.generate_forecasts(loaded, stored.drop("adr"), "status_ts").filter("actual IS NULL")
+    return before.join(after, keys).select(*keys, (F.col("before") == F.col("prediction")).alias("same"))

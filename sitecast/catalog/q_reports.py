@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from sitecast.catalog.fixtures import view
-from sitecast.catalog.q_joins import AMENITIES, BAND, GRID, GUESTS, LOCATIONS, MONTH_LIST, NEAR, PARTS, PEAK, POIS, SEASON, STAY
+from sitecast.catalog.q_joins import AMENITIES, BAND, COUNTS, GRID, GUESTS, LOCATIONS, MONTH_LIST, NEAR, PARTS, PEAK, POIS, SEASON, STAY
 from sitecast.catalog.q_models import FEATURES, scored_sites
 from sitecast.catalog.registry import query, rounded
 from sitecast.plans import reports as P
@@ -232,11 +232,18 @@ def _(spark, d):
     return rounded(best.select("location_id", "total_poi_count", "transport_score", "economic_index", "score", "rank"))
 
 
-@query("end_to_end")
+@query(
+    "end_to_end",
+    "SELECT booking_id, round(adr, 8) AS adr, total_nights, arrival_date, " + ", ".join(f"poi_{a}_count" for a in AMENITIES) + " FROM pre JOIN "
+    f"(SELECT b.lat_e4, b.lon_e4, {COUNTS} FROM (SELECT DISTINCT lat_e4, lon_e4 FROM v_bookings) b LEFT JOIN v_pois p ON "
+    "(p.lat_e4 - b.lat_e4) * (p.lat_e4 - b.lat_e4) + (p.lon_e4 - b.lon_e4) * (p.lon_e4 - b.lon_e4) <= (1e4 / 111) * (1e4 / 111) GROUP BY 1, 2) n USING (lat_e4, lon_e4)",
+    **PRE,
+)
 def _(spark, d):
     out = run_all(
         spark, materialize(view(spark, d, "v_bookings_dup")), view(spark, d, "v_pois"), scored_sites(spark, d),
         f"{shared_dir(spark)}/job-{uuid.uuid4().hex}", FEATURES, demand_params={"n_estimators": 5},
         location_params={"n_estimators": 20, "max_depth": 5}, location_kind="randomforest", amenities=AMENITIES, **GRID,
     )
-    return out["top_locations"].select("location_id", "predicted_score", "rank")
+    counts = [f"poi_{a}_count" for a in AMENITIES]
+    return rounded(out["features"].select("booking_id", "adr", "total_nights", "arrival_date", *counts), 8)

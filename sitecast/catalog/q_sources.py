@@ -51,6 +51,16 @@ def _(spark, d):
     return G.read_geojson(spark, G.write_geojson(_pois(spark, d), scratch(spark, "pois")))
 
 
+@query("read_feature_collection", POI_ROWS)
+def _(spark, d):
+    """A collection with one feature per line between the lines of its wrapper."""
+    lines = spark.read.text(G.write_geojson(_pois(spark, d), scratch(spark, "pois")))
+    head = spark.createDataFrame([('{"type": "FeatureCollection", "features": [',), ("]}",)], "value string")
+    path = scratch(spark, "collection")
+    lines.select(F.concat("value", F.lit(",")).alias("value")).unionByName(head).write.text(path)
+    return G.read_geojson(spark, path)
+
+
 @query("write_geojson", "SELECT count(*) AS features, count(amenity) AS with_amenity FROM v_pois")
 def _(spark, d):
     lines = spark.read.text(G.write_geojson(_pois(spark, d), scratch(spark, "pois")))
@@ -111,9 +121,7 @@ NULL_SQL = each(
 @query("write_summary_json", NULL_SQL)
 def _(spark, d):
     path = S.write_summary_json({"nulls": A.null_profile(view(spark, d, "v_event_nulls"))}, scratch(spark, "summary"))
-    rows = "struct<nulls: array<struct<column: string, nulls: bigint, percent: double>>>"
-    doc = spark.read.option("wholetext", True).text(path).select(F.from_json("value", rows).alias("j"))
-    return doc.select(F.explode("j.nulls").alias("r")).select("r.*")
+    return S.read_summary_json(spark, path, "nulls", "column string, nulls bigint, percent double")
 
 
 @query(

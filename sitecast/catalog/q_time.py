@@ -8,7 +8,7 @@ from sitecast.catalog.fixtures import table, view
 from sitecast.catalog.registry import query, rounded
 from sitecast.operators import graph as G
 from sitecast.operators import timeseries as T
-from sitecast.operators.joins import complete_edges, distance_edges
+from sitecast.operators.joins import distance_edges
 
 
 @query(
@@ -203,12 +203,3 @@ def _(spark, d):
     seqs = T.make_sequences(df, ["lead_time", "adults"], ["babies"], 7, 1, ["node"], ["status_ts", "booking_id"])
     scaled = G.transform_sequences(seqs, lambda x: F.transform(x, lambda row: F.transform(row, lambda v: v / F.lit(400.0))))
     return rounded(_exploded(scaled, ["node"]), 6)
-
-
-@query(
-    "complete_graph_rows",
-    "SELECT src, dst, round(weight / sum(weight) OVER (PARTITION BY src), 6) AS weight FROM "
-    "(SELECT a.n_nationkey AS src, b.n_nationkey AS dst, 1e0 AS weight FROM nation a JOIN nation b ON a.n_nationkey <> b.n_nationkey) t",
-)
-def _(spark, d):
-    return rounded(G.normalize_rows(complete_edges(table(spark, d, "nation"), "n_nationkey")), 6)

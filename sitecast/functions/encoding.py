@@ -9,20 +9,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ONE_HOT = 1_000
+def one_hot(df: DataFrame, col: str, prefix: str, values: Sequence[str]) -> DataFrame:
+    """A boolean column ``prefix_value`` for each of ``values``; NULL is false in all.
 
-
-def one_hot(df: DataFrame, col: str, prefix: str, values: Sequence[str] | None = None) -> DataFrame:
-    """A boolean column ``prefix_value`` per value, in sorted order; NULL is false in all.
-
-    Without a list the values are read from the data.  They become columns, so
-    a column with more than ``MAX_ONE_HOT`` values is refused.
+    The values are part of the schema, so they are given and not read from the
+    data; ``index_category`` takes a column with any number of them.
     """
-    if values is None:
-        found = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(MAX_ONE_HOT + 1).collect()
-        if len(found) > MAX_ONE_HOT:
-            raise ValueError(f"{col} has more than {MAX_ONE_HOT} values; use index_category")
-        values = sorted(r[0] for r in found)
     return df.withColumns({f"{prefix}_{v}": F.coalesce(F.col(col) == F.lit(v), F.lit(False)) for v in values})
 
 

@@ -25,11 +25,11 @@ def poi_density(df: DataFrame) -> DataFrame:
 
 
 def transport_score(df: DataFrame) -> DataFrame:
-    """Inverse distance to each kind of transport, and their sum."""
+    """Inverse distance to each kind of transport, and their sum; NULL where the distance is -1."""
     cols = [c for c in df.columns if "distance" in c and any(w in c for w in TRANSPORT_WORDS)]
     if not cols:
         return df
-    inverse = {f"{c}_inv": F.lit(1.0) / (F.col(c) + 1) for c in cols}
+    inverse = {f"{c}_inv": F.try_divide(F.lit(1.0), F.col(c) + 1) for c in cols}
     out = df.withColumns(inverse)
     total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0.0)) for c in inverse])
     return out.withColumn("transport_score", total)
@@ -40,4 +40,4 @@ def economic_index(df: DataFrame) -> DataFrame:
 
 
 def competition_index(df: DataFrame) -> DataFrame:
-    return df.withColumn("competition_index", F.col("competitor_count") / (F.col("total_poi_count") + 1))
+    return df.withColumn("competition_index", F.try_divide(F.col("competitor_count"), F.col("total_poi_count") + 1))

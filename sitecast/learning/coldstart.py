@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 
 from sitecast.learning.splits import apply_scaler, fit_scaler
 from sitecast.operators.cleaning import first_per_key
-from sitecast.operators.joins import dense_index, knn_join, semi_filter
+from sitecast.operators.joins import dense_index, nearest, semi_filter
 from sitecast.operators.ranking import append_mean_row, append_predictions
 from sitecast.operators.summary import group_means
 from sitecast.session import materialize
@@ -27,7 +27,8 @@ def similar_hotels(
     """Rows ``(hotel, distance, rank)`` of the ``k`` nearest known hotels.
 
     Text features become indexes among the sorted values of the known hotels and
-    the new one; all features are scaled by the known hotels.
+    the new one; all features are scaled by the known hotels.  A known hotel that
+    lacks a feature is no neighbour; a new hotel that lacks one is refused.
     """
     used = [c for c in features if c in df.columns]
     if not used:
@@ -43,11 +44,8 @@ def similar_hotels(
     numbers = [c for c in used if c not in text] + [f"{c}_code" for c in text]
     scaler = fit_scaler(both.filter(~F.col("_new")), numbers)
     scaled = materialize(apply_scaler(both, scaler))
-    near = knn_join(
-        scaled.filter("_new").select(F.col("hotel").alias("query_id"), *numbers),
-        scaled.filter(~F.col("_new")).select("hotel", *numbers),
-        numbers, k, "query_id", "hotel",
-    )
+    new_row = scaled.filter("_new").select(*numbers).first()
+    near = nearest(scaled.filter(~F.col("_new")), {c: new_row[c] for c in numbers}, k, "hotel")
     return near.select("hotel", "distance", "rank")
 
 

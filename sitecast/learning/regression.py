@@ -17,7 +17,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +40,15 @@ DEFAULT_GRIDS = {
     "randomforest": {"n_estimators": [50, 100, 200], "max_depth": [None, 10, 20], "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]},
     "gbdt": {"n_estimators": [50, 100, 200], "max_depth": [3, 5, 7], "learning_rate": [0.01, 0.1, 0.2], "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]},
 }
+# The features of the demand model.
 DEMAND_FEATURES = [
     "lead_time", "arrival_date_month_num", "stays_in_weekend_nights", "stays_in_week_nights", "adults", "children",
     "is_repeated_guest", "previous_cancellations", "previous_bookings_not_canceled", "booking_changes",
     "required_car_parking_spaces", "total_of_special_requests",
 ]
 MAX_DEPTH = 30
+# The kinds whose boosting watches a validation set.
+EARLY_STOPPING = ("xgboost", "lightgbm")
 VECTOR = "_features"
 
 
@@ -138,10 +141,10 @@ def fit_with_validation(
 ) -> LocationModel:
     """Boosting that stops when the validation error no longer falls by ``tol``.
 
-    The scaler sees the training rows only.  Kinds that do not boost are fitted
-    on the training rows.
+    The scaler sees the training rows only.  Kinds outside ``EARLY_STOPPING`` are
+    fitted on the training rows with all their trees.
     """
-    if kind == "randomforest":
+    if kind not in EARLY_STOPPING:
         out = fit_location_model(train, features, label, kind, params)
     else:
         features = list(features)
@@ -160,13 +163,15 @@ def cross_validate(
 ) -> DataFrame:
     """Rows ``(fold, metric, value)``: each fold scored by a model that has not seen it."""
     folds = assign_folds(df, key, k, out="_fold").persist()
-    out = []
-    for f in range(k):
-        model = fit_location_model(folds.filter(F.col("_fold") != f), features, label, kind, params)
-        held = model.predict(folds.filter(F.col("_fold") == f), "_p")
-        out.append(regression_metrics(held, label, "_p").select(F.lit(f).alias("fold"), "rmse", "mae", "r2"))
-    table = reduce(DataFrame.unionByName, out)
-    return table.unpivot("fold", ["rmse", "mae", "r2"], "metric", "value")
+    rows = []
+    try:
+        for f in range(k):
+            model = fit_location_model(folds.filter(F.col("_fold") != f), features, label, kind, params)
+            held = regression_metrics(model.predict(folds.filter(F.col("_fold") == f), "_p"), label, "_p").first()
+            rows += [(f, m, held[m]) for m in ("rmse", "mae", "r2")]
+    finally:
+        folds.unpersist()
+    return df.sparkSession.createDataFrame(rows, "fold int, metric string, value double")
 
 
 def grid_search(
@@ -275,10 +280,12 @@ class DemandModel:
     valid_metrics: dict[str, float] = field(default_factory=dict)
 
     def windows(self, df: DataFrame) -> DataFrame:
-        known = df.filter(F.col(self.target).isNotNull())
+        """One window per row that has enough rows before it; ``actual`` is NULL where it is not known."""
+        if self.target not in df.columns:
+            df = df.withColumn(self.target, F.lit(None).cast("double"))
+        cols = dict.fromkeys([*self.partition, *self.order, *self.features, self.target])
         seqs = make_sequences(
-            apply_scaler(known.select(*dict.fromkeys([*self.partition, *self.order, *self.features, self.target])), self.scaler),
-            self.features, [self.target], self.seq_len, 1, self.partition, self.order,
+            apply_scaler(df.select(*cols), self.scaler), self.features, [self.target], self.seq_len, 1, self.partition, self.order
         )
         return seqs.withColumn(VECTOR, array_to_vector(F.flatten("x"))).withColumn("actual", F.col("y")[0])
 
@@ -290,14 +297,14 @@ def fit_demand_model(
     """Fit on 80 % of the windows and measure on the rest.
 
     ``key`` identifies a window's last row and decides its side.  Features the
-    table lacks are skipped.
+    table lacks are skipped; windows whose target is not known are not fitted on.
     """
     used = [c for c in features if c in df.columns]
     if not used:
         raise ValueError("none of the demand features is present")
     scaler = scaler_dict(fit_scaler(df, used))
     shell = DemandModel(None, used, target, seq_len, scaler, list(partition), list(order))
-    rows = hash_split(shell.windows(df), f"end_{key}").persist()
+    rows = hash_split(shell.windows(df).filter(F.col("actual").isNotNull()), f"end_{key}").persist()
     shell.model = regressor(kind, "actual", params).fit(rows.filter("is_train"))
     held = shell.model.transform(rows.filter(~F.col("is_train")))
     row = regression_metrics(held, "actual", "prediction").first()
@@ -307,7 +314,30 @@ def fit_demand_model(
 
 
 def generate_forecasts(model: DemandModel, df: DataFrame, date: str) -> DataFrame:
-    """Rows ``(partition..., date, prediction, actual)``, one per window."""
+    """Rows ``(partition..., date, prediction, actual)``, one per window.
+
+    The target is not needed: ``actual`` is NULL where a row lacks it, and for all
+    rows of a table without that column.
+    """
     out = model.model.transform(model.windows(df))
     keys = [*model.partition, *[F.col(f"end_{c}").alias(c) for c in model.order if c not in (*model.partition, date)]]
     return out.select(*keys, F.col(f"end_{date}").alias("date"), "prediction", "actual")
+
+
+_DEMAND_META = ("features", "target", "seq_len", "scaler", "partition", "order", "valid_metrics")
+
+
+def save_demand_model(model: DemandModel, path: str) -> str:
+    """Regressor directory plus one JSON line with what scoring needs."""
+    spark = SparkSession.active()
+    model.model.write().overwrite().save(f"{path}/model")
+    meta = {k: getattr(model, k) for k in _DEMAND_META} | {"class": type(model.model).__name__}
+    spark.createDataFrame([(json.dumps(meta),)], "value string").write.mode("overwrite").text(f"{path}/meta")
+    return path
+
+
+def load_demand_model(spark: SparkSession, path: str) -> DemandModel:
+    meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
+    meta["scaler"] = {k: tuple(v) for k, v in meta["scaler"].items()}
+    kinds = {c.__name__: c for c in (GBTRegressionModel, RandomForestRegressionModel)}
+    return DemandModel(kinds[meta.pop("class")].load(f"{path}/model"), **meta)

@@ -20,7 +20,6 @@ from sitecast.session import materialize
 
 DEGREE_KM = 111.0
 PAIRS_PER_TASK = 5_000_000
-MAX_LITERAL_ROWS = 2_000
 
 
 def group_mean_join_back(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
@@ -134,18 +133,21 @@ def count_pois_within(
     lon: str = "longitude",
     amenity: str = "amenity",
     units_per_degree: float = 1.0,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Columns ``poi_{amenity}_count`` on each site; no point within reach is 0.
 
-    One degree is taken as 111 km in both directions.  Give ``amenities`` when
-    known: without it the kinds are read from the data in an extra job.
+    One degree is taken as 111 km in both directions.  A column per kind needs the
+    list of ``amenities``; without it each site gets one map column ``poi_counts``
+    from kind to count, however many kinds there are.
     """
+    long = poi_counts_long(sites, pois, radius_km, lat, lon, amenity, units_per_degree, pairs_per_task)
     if amenities is None:
-        found = pois.select(amenity).na.drop().distinct().limit(MAX_LITERAL_ROWS + 1).collect()
-        if len(found) > MAX_LITERAL_ROWS:
-            raise ValueError(f"{amenity} has too many kinds for one column each; use poi_counts_long")
-        amenities = sorted(r[0] for r in found)
-    long = poi_counts_long(sites, pois, radius_km, lat, lon, amenity, units_per_degree)
+        # One entry for each kind around one position.
+        maps = long.groupBy(lat, lon).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("amenity", "n")))).alias("poi_counts"))
+        out = sites.join(maps, [lat, lon], "left")
+        empty = F.create_map().cast("map<string,bigint>")
+        return out.select(*sites.columns, F.coalesce("poi_counts", empty).alias("poi_counts"))
     wide = long.groupBy(lat, lon).agg(
         *[F.sum(F.when(F.col("amenity") == a, F.col("n"))).alias(f"poi_{a}_count") for a in amenities]
     )
@@ -167,23 +169,19 @@ def distance_edges(
     df: DataFrame,
     node: str,
     dist: str,
-    threshold: float | None = None,
+    threshold: float,
     weighted: bool = True,
     pairs_per_task: int = PAIRS_PER_TASK,
-    max_nodes: int = MAX_LITERAL_ROWS,
 ) -> DataFrame:
     """Edges ``(src, dst, weight)`` between different nodes at most ``threshold`` apart.
 
     Nodes fall into buckets one threshold wide; a node meets its own bucket and
-    the two beside it, and a crowded bucket is split.  Without a threshold every
-    pair is an edge, which is written out for a node list of checked size only.
+    the two beside it, and a crowded bucket is split.  A complete graph is not
+    written out: ``graph.complete_propagate`` gives its aggregation without edges.
     """
-    nodes = one_row_per_node(df, node, dist).filter(F.col(dist).isNotNull())
-    if threshold is None:
-        return _all_distance_edges(nodes, node, dist, weighted, max_nodes)
     if threshold <= 0:
         raise ValueError("threshold must be positive")
-    nodes = materialize(nodes)
+    nodes = materialize(one_row_per_node(df, node, dist).filter(F.col(dist).isNotNull()))
     bucket = F.floor(F.col(dist) / threshold)
     left = nodes.select(F.col(node).alias("src"), F.col(dist).alias("_da"), bucket.alias("_b"))
     right = nodes.select(
@@ -206,89 +204,23 @@ def _distance_weight(weighted: bool) -> Column:
     return F.lit(1.0) / (_gap() + 1e-6) if weighted else F.lit(1.0)
 
 
-def _few_rows(nodes: DataFrame, max_nodes: int) -> list:
-    """All rows of a node list, refused above ``max_nodes``."""
-    rows = nodes.limit(max_nodes + 1).collect()
-    if len(rows) > max_nodes:
-        raise ValueError(
-            f"a complete graph of more than {max_nodes} nodes is not written out; "
-            "use graph.complete_propagate, which needs no edges"
-        )
-    return sorted(rows)
-
-
-def _all_distance_edges(nodes: DataFrame, node: str, dist: str, weighted: bool, max_nodes: int) -> DataFrame:
-    far = [F.struct(F.lit(n).alias("dst"), F.lit(v).alias("_db")) for n, v in _few_rows(nodes.select(node, dist), max_nodes)]
-    met = nodes.select(F.col(node).alias("src"), F.col(dist).alias("_da"), F.inline(F.array(*far)))
-    return met.filter(F.col("src") != F.col("dst")).select("src", "dst", _distance_weight(weighted).alias("weight"))
-
-
-def complete_edges(nodes: DataFrame, node: str = "node", self_loops: bool = False, max_nodes: int = MAX_LITERAL_ROWS) -> DataFrame:
-    """Edges of the complete graph, for a node list of checked size.
-
-    With self loops the diagonal weighs 2: a matrix of ones plus the identity.
-    Its size is the square of the node count, so larger graphs are refused;
-    ``graph.complete_propagate`` gives their aggregation without edges.
-    """
-    ids = F.array(*[F.lit(r[0]) for r in _few_rows(nodes.select(node).distinct(), max_nodes)])
-    pairs = nodes.select(F.col(node).alias("src")).distinct().withColumn("dst", F.explode(ids))
-    if not self_loops:
-        return pairs.filter(F.col("src") != F.col("dst")).withColumn("weight", F.lit(1.0))
-    return pairs.withColumn("weight", F.when(F.col("src") == F.col("dst"), 2.0).otherwise(1.0))
-
-
-def knn_join(
-    queries: DataFrame,
-    base: DataFrame,
-    features: Sequence[str],
-    k: int = 5,
-    query_key: str = "query_id",
-    base_key: str = "base_id",
-    batch: int = 500,
+def nearest(
+    base: DataFrame, query: dict[str, float], k: int = 5, base_key: str = "base_id"
 ) -> DataFrame:
-    """The ``k`` nearest base rows of each query, ties by key: ``(query, base, distance, rank)``.
+    """The ``k`` base rows nearest to one query: ``(base_key, distance, rank)``, ties by key.
 
-    Queries travel as literals in batches of checked size, so the base is never
-    shuffled: each task keeps its own best ``k`` per query before the ranking
-    shuffle.  More queries than one batch means more passes, not a larger plan.
+    ``query`` maps each feature to its value.  A base row that lacks a feature has
+    no distance and is left out; a query that lacks one is refused.
     """
-    parts = []
-    rows = queries.select(query_key, *[F.col(f).cast("double").alias(f) for f in features])
-    pending: list = []
-
-    def flush() -> None:
-        if not pending:
-            return
-        asked = F.array(
-            *[
-                F.struct(F.lit(r[query_key]).alias("q"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
-                for r in pending
-            ]
-        )
-        square = reduce(
-            lambda a, b: a + b,
-            [(F.col(f).cast("double") - F.col(f"_q.{f}")) * (F.col(f).cast("double") - F.col(f"_q.{f}")) for f in features],
-        )
-        far = base.select(base_key, *features).withColumn("_q", F.explode(asked)).select(
-            F.col("_q.q").alias(query_key), base_key, square.alias("_d2")
-        )
-        w = Window.partitionBy(query_key).orderBy("_d2", base_key)
-        parts.append(
-            far.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k)
-            .select(query_key, base_key, F.sqrt("_d2").alias("distance"), "rank")
-        )
-        pending.clear()
-
-    few = rows.limit(batch + 1).collect()
-    for r in few if len(few) <= batch else rows.toLocalIterator():
-        pending.append(r)
-        if len(pending) == batch:
-            flush()
-    flush()
-    if not parts:
-        raise ValueError("no query rows")
-    return reduce(DataFrame.unionByName, parts)
+    missing = [f for f, v in query.items() if v is None or math.isnan(v)]
+    if not query or missing:
+        raise ValueError(f"the query lacks {missing or 'all features'}")
+    gaps = [F.col(f).cast("double") - F.lit(float(v)) for f, v in query.items()]
+    square = reduce(lambda a, b: a + b, [g * g for g in gaps])
+    far = base.na.drop(subset=list(query)).select(base_key, F.sqrt(square).alias("distance"))
+    near = far.filter(~F.isnan("distance")).orderBy("distance", base_key).limit(k)
+    # At most k rows from here on.
+    return near.withColumn("rank", F.row_number().over(Window.orderBy("distance", base_key)))
 
 
 def semi_filter(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Exact interpolated quantiles of very large columns.
 
 The built-in exact percentile keeps every distinct value of a group in one
-task.  Here a mergeable sketch of fixed size first brackets each wanted order
-statistic; one pass then counts the rows below the bracket, and only the rows
-inside it, about one in a thousand, are counted by value to find the statistic
-itself.  The answer is exact; the sketch only decides how much is looked at.
+task.  Here a mergeable sketch of fixed size brackets each wanted order
+statistic, one pass counts the rows below the bracket and inside it, and both
+are repeated inside the bracket until it holds few rows.  Only those are counted
+by value to find the statistic itself.  The answer is exact; the sketches only
+decide how much is looked at.  Each round cuts a bracket to about a thousandth.
 
 Only scalars reach the driver: one row of sketch results, one row of counts, and
 one row per wanted quantile.  They go back into plans as literals, which keeps
@@ -14,79 +15,104 @@ those plans flat and lets a comparison with a quantile be pushed to the scan.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-WHOLE_RANGE_ROWS = 20_000
+#: Rows that a bracket may hold when it is counted by value.
+INSIDE_ROWS = 2_000
+
+
+@dataclass
+class _Bracket:
+    """Rows of column ``col`` from ``lo`` to ``hi``: ``inside`` of them, after ``below`` others."""
+
+    key: tuple[str, float]
+    col: str
+    at: float
+    lo: float
+    hi: float
+    below: int
+    inside: int
+
+    def rows(self):
+        return F.when(F.col(self.col).between(self.lo, self.hi), F.col(self.col))
+
+    def share(self) -> float:
+        """Place of the statistic among the rows inside."""
+        return (self.at - self.below) / max(self.inside - 1, 1)
+
+
+def _narrow(base: DataFrame, brackets: list[_Bracket], accuracy: int) -> bool:
+    """Shrink each bracket by one sketch and one count; whether any became smaller.
+
+    A side on which the sketch missed the statistic keeps its old end.
+    """
+    margin = 5 / accuracy
+    ends = [[min(max(b.share() + d, 0.0), 1.0) for d in (-margin, margin)] for b in brackets]
+    sketch = base.agg(*[F.percentile_approx(b.rows(), e, accuracy).alias(f"p{t}") for t, (b, e) in enumerate(zip(brackets, ends))]).first()
+    tried = []
+    for t, (b, (first, last)) in enumerate(zip(brackets, ends)):
+        tried.append((b.lo if first == 0 else sketch[f"p{t}"][0], b.hi if last == 1 else sketch[f"p{t}"][1]))
+    counted = base.agg(
+        *[F.count_if(F.col(b.col) < lo).alias(f"b{t}") for t, (b, (lo, _)) in enumerate(zip(brackets, tried))],
+        *[F.count_if(F.col(b.col) <= hi).alias(f"u{t}") for t, (b, (_, hi)) in enumerate(zip(brackets, tried))],
+    ).first()
+    smaller = False
+    for t, (b, (lo, hi)) in enumerate(zip(brackets, tried)):
+        before, upto = counted[f"b{t}"], counted[f"u{t}"]
+        if before > math.floor(b.at):
+            lo, before = b.lo, b.below
+        if upto <= math.ceil(b.at):
+            hi, upto = b.hi, b.below + b.inside
+        smaller |= upto - before < b.inside
+        b.lo, b.hi, b.below, b.inside = lo, hi, before, upto - before
+    return smaller
 
 
 def quantile_values(
     df: DataFrame,
     wanted: dict[str, list[float]],
     accuracy: int = ACCURACY,
-    whole_range_rows: int = WHOLE_RANGE_ROWS,
+    inside_rows: int = INSIDE_ROWS,
 ) -> dict[tuple[str, float], float | None]:
     """``{(column, q): value}`` for every wanted quantile, all columns at once."""
-    margin = 5 / accuracy
     cols = list(wanted)
     base = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    aggs = []
-    for i, c in enumerate(cols):
-        around = [min(max(p, 0.0), 1.0) for q in wanted[c] for p in (q - margin, q + margin)]
-        aggs += [
-            F.count(f"c{i}").alias(f"n{i}"),
-            F.min(f"c{i}").alias(f"lo{i}"),
-            F.max(f"c{i}").alias(f"hi{i}"),
-            F.percentile_approx(f"c{i}", around, accuracy).alias(f"p{i}"),
-        ]
-    sketch = base.agg(*aggs).first()
-
+    whole = base.agg(
+        *[f(f"c{i}").alias(f"{n}{i}") for i in range(len(cols)) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    ).first()
     out: dict[tuple[str, float], float | None] = {}
-    targets = []
+    brackets = []
     for i, c in enumerate(cols):
-        n = sketch[f"n{i}"]
-        for j, q in enumerate(wanted[c]):
-            if n == 0:
-                out[c, q] = None
-                continue
-            whole = n <= whole_range_rows
-            lo = sketch[f"lo{i}"] if whole or q - margin <= 0 else sketch[f"p{i}"][2 * j]
-            hi = sketch[f"hi{i}"] if whole or q + margin >= 1 else sketch[f"p{i}"][2 * j + 1]
-            targets.append((c, q, f"c{i}", q * (n - 1), lo, hi))
-    if not targets:
-        return out
+        n = whole[f"n{i}"]
+        for q in wanted[c]:
+            out[c, q] = None
+            if n:
+                brackets.append(_Bracket((c, q), f"c{i}", q * (n - 1), whole[f"lo{i}"], whole[f"hi{i}"], 0, n))
 
-    counted = base.agg(
-        *[F.count_if(F.col(col) < lo).alias(f"b{t}") for t, (_, _, col, _, lo, _) in enumerate(targets)],
-        *[F.count_if(F.col(col) <= hi).alias(f"u{t}") for t, (_, _, col, _, _, hi) in enumerate(targets)],
-    ).first()
-    for t, (c, q, _, at, lo, hi) in enumerate(targets):
-        if counted[f"b{t}"] > math.floor(at) or counted[f"u{t}"] <= math.ceil(at):
-            raise RuntimeError(f"bracket missed quantile {q} of {c}")
-        if lo == hi:
-            out[c, q] = lo
     # A bracket that holds one value, however many rows share it, needs no look inside.
-    open_targets = [t for t, (c, q, *_) in enumerate(targets) if (c, q) not in out]
-    if not open_targets:
+    while wide := [b for b in brackets if b.lo < b.hi and b.inside > inside_rows]:
+        if not _narrow(base, wide, accuracy):
+            break  # a few values with very many rows each
+    for b in brackets:
+        if b.lo == b.hi:
+            out[b.key] = b.lo
+    left = [b for b in brackets if b.lo < b.hi]
+    if not left:
         return out
 
     inside = F.array(
         *[
-            F.struct(
-                F.lit(t).alias("t"),
-                F.lit(at).alias("at"),
-                F.lit(counted[f"b{t}"]).cast("long").alias("below"),
-                F.when(F.col(col).between(lo, hi), F.col(col)).alias("v"),
-            )
-            for t, (_, _, col, at, lo, hi) in enumerate(targets)
-            if t in open_targets
+            F.struct(F.lit(t).alias("t"), F.lit(b.at).alias("at"), F.lit(b.below).cast("long").alias("below"), b.rows().alias("v"))
+            for t, b in enumerate(left)
         ]
     )
     # The brackets go to the scan as a filter, so most rows never build the array.
-    anywhere = reduce(lambda a, b: a | b, [F.col(targets[t][2]).between(*targets[t][4:6]) for t in open_targets])
+    anywhere = reduce(lambda a, b: a | b, [F.col(b.col).between(b.lo, b.hi) for b in left])
     near = (
         base.filter(anywhere)
         .select(F.inline(inside))
@@ -104,11 +130,9 @@ def quantile_values(
         )
         .collect()
     )
-    found = {r["t"]: r for r in picked}
-    for t in open_targets:
-        c, q, _, at, *_ = targets[t]
-        x0, x1 = found[t]["x0"], found[t]["x1"]
-        out[c, q] = x0 + (x1 - x0) * (at - math.floor(at))
+    for r in picked:
+        b = left[r["t"]]
+        out[b.key] = r["x0"] + (r["x1"] - r["x0"]) * (b.at - math.floor(b.at))
     return out
 
 

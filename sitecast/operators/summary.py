@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecast.operators.columns import any_null, columns_by_kind
-from sitecast.operators.ordering import prefixed
+from sitecast.operators.ordering import prefixed, with_positions
 from sitecast.operators.quantiles import quantile_values
 
 
@@ -329,23 +329,30 @@ def early_stop(history: DataFrame, patience: int, run: Sequence[str] = ("run",),
 
     An epoch improves when its loss is strictly below every earlier one, so the
     last improvement up to an epoch is the first place of the lowest loss so far:
-    a running minimum over (loss, epoch).  The run stops after ``patience``
-    epochs in a row without improvement.
+    a running minimum over (loss, place).  The run stops after ``patience`` epochs
+    in a row without improvement, counted by row whatever their numbers; a NULL
+    loss is no improvement, also before the first one.
     """
     keys = list(run)
-    known = F.when(F.col(loss).isNotNull(), F.struct(F.col(loss).alias("l"), F.col(epoch).alias("e")))
-    lowest = prefixed(history.select(*keys, epoch, loss), keys, [F.col(epoch)], {"_low": ("min", known, "upto")})
-    marked = lowest.withColumn("_last", F.col("_low.e"))
-    stop = F.min(F.when(F.col(epoch) - F.col("_last") >= patience, F.col(epoch)))
-    ends = marked.groupBy(*keys).agg(
-        stop.alias("_stop"),
-        F.min_by("_last", F.when(F.col(epoch) - F.col("_last") >= patience, F.col(epoch))).alias("_best_at_stop"),
-        F.max("_last").alias("_best_overall"),
-        F.max(epoch).alias("_final"),
+    placed = with_positions(history.select(*keys, epoch, loss), [F.col(c) for c in [*keys, epoch]], "_place")
+    whole = placed.withColumn("_run", F.struct(F.lit(0), *keys))
+    starts = whole.groupBy("_run").agg(F.min("_place").alias("_first"))
+    rows = whole.join(starts, "_run").select(*keys, epoch, loss, (F.col("_place") - F.col("_first")).alias("_i"))
+    known = F.when(F.col(loss).isNotNull(), F.struct(F.col(loss).alias("l"), F.col("_i").alias("i"), F.col(epoch).alias("e")))
+    lowest = prefixed(rows, keys, [F.col("_i")], {"_low": ("min", known, "upto")})
+    late = F.col("_i") - F.coalesce("_low.i", F.lit(-1)) >= patience
+    stop = F.when(late, F.col("_i"))
+    ends = lowest.groupBy(*keys).agg(
+        F.min(stop).alias("_stop"),
+        F.min_by(F.struct("_low.e"), stop).alias("_best_at_stop"),
+        F.min_by(epoch, stop).alias("_stop_epoch"),
+        F.max_by(F.struct("_low.e"), "_i").alias("_best_overall"),
+        F.max_by(epoch, "_i").alias("_final"),
     )
+    stopped = F.col("_stop").isNotNull()
     return ends.select(
         *keys,
-        F.coalesce("_best_at_stop", "_best_overall").alias("best_epoch"),
-        F.coalesce("_stop", "_final").alias("stop_epoch"),
-        F.col("_stop").isNotNull().alias("stopped_early"),
+        F.when(stopped, F.col("_best_at_stop.e")).otherwise(F.col("_best_overall.e")).alias("best_epoch"),
+        F.coalesce("_stop_epoch", "_final").alias("stop_epoch"),
+        stopped.alias("stopped_early"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from sitecast.functions.bookings import guest_features, interaction_features, lead_time_band, price_ratio, stay_features
 from sitecast.functions.dates import SEASONS, compose_date, date_parts, month_number, season_features
-from sitecast.functions.encoding import one_hot
+from sitecast.functions.encoding import index_category, one_hot
 from sitecast.operators.cleaning import cap_quantile, clamp_negative, deduplicate, impute_median, impute_mode
 from sitecast.operators.columns import columns_by_kind, require
 from sitecast.operators.summary import null_columns
@@ -48,7 +48,8 @@ def create_features(
 ) -> DataFrame:
     """Lead-time band, price ratio, one-hot columns, season and total price.
 
-    Give the value lists when known; each saves one job over the data.
+    A column per value needs the list of values; without it the category becomes
+    its index among the sorted values (``customer_type_code``).
     """
     out = df
     if require(out, ["lead_time"], strict=False):
@@ -56,9 +57,9 @@ def create_features(
     if require(out, ["adr", "arrival_date_month", "hotel"], strict=False):
         out = price_ratio(out)
     if require(out, ["customer_type"], strict=False):
-        out = one_hot(out, "customer_type", "customer", customer_types)
+        out = one_hot(out, "customer_type", "customer", customer_types) if customer_types else index_category(out, "customer_type")
     if require(out, ["market_segment"], strict=False):
-        out = one_hot(out, "market_segment", "market", market_segments)
+        out = one_hot(out, "market_segment", "market", market_segments) if market_segments else index_category(out, "market_segment")
     if require(out, ["arrival_date_month_num"], strict=False):
         out = out.withColumns(season_features("arrival_date_month_num"))
         out = one_hot(out, "season", "season", sorted(SEASONS))

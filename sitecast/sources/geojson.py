@@ -22,18 +22,15 @@ DEFAULT_TAGS = {
 }
 
 
-def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
-    """Rows ``(amenity, tourism, shop, name, lat, lon)``.
+def read_geojson(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``(amenity, tourism, shop, name, lat, lon)`` of the point features.
 
-    The default layout is one feature per line, which Spark splits.  A single
-    ``FeatureCollection`` document (``collection=True``) cannot be split and
-    suits small files only.
+    One feature per line, alone or inside a ``FeatureCollection`` that puts each on
+    a line of its own: the comma between features is cut off, the wrapper's lines
+    are no features.  Either way Spark splits the file by lines.
     """
-    if collection:
-        doc = spark.read.schema(f"features array<{FEATURE}>").option("multiLine", True).json(path)
-        features = doc.select(F.explode("features").alias("f"))
-    else:
-        features = spark.read.text(path).select(F.from_json("value", FEATURE).alias("f"))
+    line = F.regexp_replace(F.trim("value"), ",$", "")
+    features = spark.read.text(path).filter(line.startswith("{") & line.endswith("}")).select(F.from_json(line, FEATURE).alias("f"))
     return features.filter(F.col("f.geometry.type") == "Point").select(
         "f.properties.amenity",
         "f.properties.tourism",

@@ -16,9 +16,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv") -> DataFrame:
-    """Scan with a fixed schema (no inference pass); empty and NaN CSV fields are NULL."""
+    """Scan with a fixed schema (no inference pass); NaN is NULL in every format, as are empty CSV fields."""
     if fmt != "csv":
-        return spark.read.schema(schema).format(fmt).load(path)
+        return nan_to_null(spark.read.schema(schema).format(fmt).load(path))
     return nan_to_null(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
 
 
@@ -65,21 +65,16 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
 
 def write_summary_json(tables: dict[str, DataFrame], path: str) -> str:
-    """Write report tables as one JSON document ``{section: [rows...]}``.
+    """Write report tables as JSON lines, one folder ``section=name`` each.
 
-    Report tables have one row per column of the described table, so a section
-    is bounded by the schema, not by the data.
+    Every row is one line, so a table of any size is written by many tasks, and
+    ``read_summary_json`` or any JSON reader takes a section back.
     """
-    sections = [
-        t.agg(F.collect_list(F.struct("*")).alias("rows")).select(
-            F.lit(name).alias("section"), F.to_json("rows").alias("body")
-        )
-        for name, t in tables.items()
-    ]
-    whole = sections[0]
-    for s in sections[1:]:
-        whole = whole.unionByName(s)
-    parts = F.array_sort(F.collect_list(F.concat(F.lit('"'), "section", F.lit('": '), "body")))
-    doc = whole.agg(F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}")).alias("value"))
-    doc.write.mode("overwrite").text(path)
+    for name, rows in tables.items():
+        lines = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+        lines.write.mode("overwrite").text(f"{path}/section={name}")
     return path
+
+
+def read_summary_json(spark: SparkSession, path: str, section: str, schema: StructType | str) -> DataFrame:
+    return spark.read.schema(schema).json(f"{path}/section={section}")

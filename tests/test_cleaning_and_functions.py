@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitecast.functions.bookings import guest_features, lead_time_band, stay_features
-from sitecast.functions.dates import compose_date, date_parts, hour_level, month_number, season_features
+from sitecast.functions.dates import compose_date, date_parts, month_number, season_features
 from sitecast.functions.encoding import format_id, marker_style, min_max, one_hot, row_sum, weighted_score
 from sitecast.functions.locations import poi_density, transport_score
 from sitecast.operators import cleaning as C
@@ -51,9 +51,9 @@ def test_lead_band(spark):
     ]
 
 
-def test_hours(spark):
-    df = numbered(spark, [0, 5, 6, 7, 9, 12, 19, 23], "int")
-    assert col(df.withColumn("l", hour_level("v")), "l") == [20, 30, 46, 80, 100, 52, 95, 22]
+def test_transport_at_distance_minus_one(spark):
+    df = spark.createDataFrame([(-1.0, 1.0), (1.0, None)], "distance_to_bus double, distance_to_airport double")
+    assert [tuple(r) for r in transport_score(df).select("distance_to_bus_inv", "transport_score").collect()] == [(None, 0.5), (0.5, 0.5)]
 
 
 def test_stay_and_guests(spark):
@@ -135,7 +135,7 @@ def test_location_chain_multiplies_duplicates_and_skips_keyless(spark):
 
 def test_one_hot_null_and_names(spark):
     df = spark.createDataFrame([(0, "x"), (1, None), (2, "y")], "id int, c string")
-    out = one_hot(df, "c", "c")
+    out = one_hot(df, "c", "c", ["x", "y"])
     assert out.columns == ["id", "c", "c_x", "c_y"]
     assert out.orderBy("id").select("c_x", "c_y").collect()[1] == (False, False)
 

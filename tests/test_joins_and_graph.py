@@ -38,7 +38,7 @@ def test_radius_counts_equal_brute_force(spark, pairs_per_task):
 def test_radius_wide_keeps_sites_without_points(spark):
     s = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 50.0)], "site int, latitude double, longitude double")
     p = spark.createDataFrame([("a", 0.0, 0.005), (None, 0.0, 0.0)], "amenity string, latitude double, longitude double")
-    out = J.count_pois_within(s, p).orderBy("site")
+    out = J.count_pois_within(s, p, amenities=["a"]).orderBy("site")
     assert [r["poi_a_count"] for r in out.collect()] == [1, 0]
     text = plan(out)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
@@ -56,12 +56,16 @@ def test_distance_edges_equal_brute_force(spark, pairs_per_task):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_distance_edges_without_threshold(spark):
-    df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 5.0)], "node int, d double")
-    got = {(r["src"], r["dst"]): r["weight"] for r in J.distance_edges(df, "node", "d", weighted=False).collect()}
-    assert got == {(a, b): 1.0 for a in (1, 2, 3) for b in (1, 2, 3) if a != b}
-    with pytest.raises(ValueError, match="complete graph"):
-        J.distance_edges(df, "node", "d", max_nodes=2)
+def test_distance_edges_need_a_positive_threshold(spark):
+    with pytest.raises(ValueError, match="positive"):
+        J.distance_edges(spark.createDataFrame([(1, 0.0)], "node int, d double"), "node", "d", 0.0)
+
+
+def test_radius_without_a_list_counts_every_kind(spark):
+    s = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 50.0)], "site int, latitude double, longitude double")
+    p = spark.createDataFrame([(f"kind{i}", 0.0, 0.001) for i in range(3_000)], "amenity string, latitude double, longitude double")
+    out = J.count_pois_within(s, p.union(p.limit(1))).orderBy("site").collect()
+    assert len(out[0]["poi_counts"]) == 3_000 and sum(out[0]["poi_counts"].values()) == 3_001 and out[1]["poi_counts"] == {}
 
 
 def test_distance_edges_refuse_a_repeated_node(spark):
@@ -81,22 +85,25 @@ def test_hot_key_is_split_and_pairs_are_whole(spark):
 
 
 def test_nearest(spark):
-    base = spark.createDataFrame([(i, float(i), 0.0) for i in range(10)], "base_id int, a double, b double")
-    asked = spark.createDataFrame([(0, 2.5, 0.0), (1, 100.0, 0.0)], "query_id int, a double, b double")
-    rows = J.knn_join(asked, base, ["a", "b"], 3, batch=1).collect()
-    got = {q: [r["base_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 1)}
-    assert got == {0: [2, 3, 1], 1: [9, 8, 7]}
+    base = spark.createDataFrame([(i, float(i), 0.0) for i in range(10)] + [(90, None, 0.0), (91, 2.5, None)], "base_id int, a double, b double")
+    near = [(r["base_id"], r["rank"]) for r in J.nearest(base, {"a": 2.5, "b": 0.0}, 3).collect()]
+    assert sorted(near, key=lambda r: r[1]) == [(2, 1), (3, 2), (1, 3)]
+    assert J.nearest(base, {"a": 0.0, "b": 0.0}, 50).count() == 10
+    with pytest.raises(ValueError, match="lacks"):
+        J.nearest(base, {"a": None, "b": 0.0})
 
 
-def test_complete_graph_refuses_large_node_lists(spark):
-    with pytest.raises(ValueError, match="complete_propagate"):
-        J.complete_edges(spark.range(20).withColumnRenamed("id", "node"), max_nodes=10)
+def complete(nodes, loops=False):
+    """All pairs of a few nodes; with loops the diagonal weighs 2."""
+    ids = [r["node"] for r in nodes.collect()]
+    rows = [(a, b, 2.0 if a == b else 1.0) for a in ids for b in ids if loops or a != b]
+    return nodes.sparkSession.createDataFrame(rows, "src int, dst int, weight double")
 
 
 def test_complete_propagate_equals_edges(spark):
     nodes = spark.createDataFrame([(i, float(i * i)) for i in range(6)], "node int, x double")
     for loops in (False, True):
-        edges = G.normalize_rows(J.complete_edges(nodes, "node", loops))
+        edges = G.normalize_rows(complete(nodes, loops))
         a = {r["node"]: r["x"] for r in G.propagate(edges, nodes, ["x"]).collect()}
         b = {r["node"]: r["x"] for r in G.complete_propagate(nodes, ["x"], self_loops=loops).collect()}
         assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
@@ -122,7 +129,7 @@ def test_softmax_over_wide_energies(spark, spread):
 
 def test_attention_sums_to_one(spark):
     nodes = spark.createDataFrame([(i, float(i), float(-i)) for i in range(5)], "node int, x double, y double")
-    edges = J.complete_edges(nodes)
+    edges = complete(nodes)
     w = G.attention_weights(edges, nodes, ["x", "y"], [[1.0, 2.0]], [[0.5, -3.0]])
     for r in w.groupBy("src").agg(F.sum("attention").alias("s")).collect():
         assert r["s"] == pytest.approx(1.0)

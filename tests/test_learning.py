@@ -11,7 +11,7 @@ from sitecast.learning.splits import apply_scaler, assign_folds, fit_scaler, has
 from sitecast.operators.summary import null_profile
 from sitecast.plans.reports import dashboard_tables, eda_report
 from sitecast.sources.geojson import read_geojson
-from sitecast.sources.tables import write_summary_json
+from sitecast.sources.tables import read_summary_json, read_table, write_summary_json
 
 FEATURES = ["a", "b", "c"]
 SMALL = {"n_estimators": 5, "max_depth": 4}
@@ -87,7 +87,7 @@ def test_kinds_and_mapping():
 
 def test_boosting_with_validation_and_search(sites):
     parts = hash_split(sites, "k")
-    m = M.fit_with_validation(parts.filter("is_train"), parts.filter("NOT is_train"), FEATURES, "y", "gbdt", SMALL)
+    m = M.fit_with_validation(parts.filter("is_train"), parts.filter("NOT is_train"), FEATURES, "y", "xgboost", SMALL)
     assert m.metrics["valid_rmse"] > 0
     best, table = M.grid_search(sites, FEATURES, "y", "k", "randomforest", {"n_estimators": [3], "max_depth": [1, 6]}, 3, 2)
     assert best["max_depth"] == 6 and table.count() == 2
@@ -110,14 +110,47 @@ def test_reports(spark, tmp_path):
     assert tables["top_locations"].count() == 15
     assert {"numeric", "categorical", "correlations", "histogram"} <= set(eda_report(df, "actual"))
     path = write_summary_json({"nulls": null_profile(df)}, str(tmp_path / "s"))
-    doc = json.loads("".join(r[0] for r in spark.read.text(path).collect()))
-    assert {r["column"]: r["nulls"] for r in doc["nulls"]} == {"actual": 0, "prediction": 0, "date": 1}
+    rows = read_summary_json(spark, path, "nulls", "column string, nulls long").collect()
+    assert {r["column"]: r["nulls"] for r in rows} == {"actual": 0, "prediction": 0, "date": 1}
 
 
 def test_geojson_collection(spark, tmp_path):
-    doc = {"type": "FeatureCollection", "features": [
-        {"type": "Feature", "properties": {"amenity": "cafe", "name": "n"}, "geometry": {"type": "Point", "coordinates": [121.5, 31.2]}}
-    ]}
-    (tmp_path / "f.geojson").write_text(json.dumps(doc, indent=1))
-    row = read_geojson(spark, str(tmp_path / "f.geojson"), collection=True).first()
-    assert (row["amenity"], row["lat"], row["lon"], row["shop"]) == ("cafe", 31.2, 121.5, None)
+    feature = {"type": "Feature", "properties": {"amenity": "cafe", "name": "n"}, "geometry": {"type": "Point", "coordinates": [121.5, 31.2]}}
+    lines = ['{"type": "FeatureCollection", "features": [', json.dumps(feature) + ",", "  " + json.dumps(feature), "]}"]
+    (tmp_path / "f.geojson").write_text("\n".join(lines))
+    rows = read_geojson(spark, str(tmp_path / "f.geojson")).collect()
+    assert [(r["amenity"], r["lat"], r["lon"], r["shop"]) for r in rows] == [("cafe", 31.2, 121.5, None)] * 2
+
+
+def test_nan_is_null_in_every_format(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "id int, x double")
+    for fmt in ("parquet", "csv", "json"):
+        path = str(tmp_path / fmt)
+        df.write.format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(path)
+        back = read_table(spark, path, "id int, x double", fmt)
+        assert back.filter("x is null").count() == 2 and back.filter("isnan(x)").count() == 0, fmt
+
+
+def test_boosting_without_early_stop_keeps_its_trees(sites):
+    parts = hash_split(sites, "k")
+    m = M.fit_with_validation(parts.filter("is_train"), parts.filter("NOT is_train"), FEATURES, "y", "gbdt", SMALL, tol=1e6)
+    assert m.model.stages[-1].getNumTrees == SMALL["n_estimators"]
+
+
+def test_forecasts_of_unknown_rows(spark, tmp_path):
+    df = spark.range(60).select("id", F.lit("h").alias("hotel"), (F.col("id") % 5).alias("lead_time"), F.when(F.col("id") < 50, F.col("id") * 1.0).alias("adr"))
+    model = M.fit_demand_model(df, "id", ["id"], ["hotel"], params={"n_estimators": 2})
+    out = M.generate_forecasts(model, df, "id").collect()
+    assert sorted(r["date"] for r in out) == list(range(6, 60))
+    assert {r["date"] for r in out if r["actual"] is None} == set(range(50, 60)) and all(r["prediction"] is not None for r in out)
+    loaded = M.load_demand_model(spark, M.save_demand_model(model, str(tmp_path / "d")))
+    bare = M.generate_forecasts(loaded, df.drop("adr"), "id").collect()
+    assert {(r["date"], r["prediction"]) for r in bare} == {(r["date"], r["prediction"]) for r in out}
+
+
+def test_similar_hotels_need_all_features(spark):
+    df = spark.createDataFrame([(1, "A", 10), (2, "B", None), (3, "C", 90)], "id int, hotel string, poi_park_count int")
+    near = similar_hotels(df, "N", {"poi_park_count": 12}, [F.col("id")], ["poi_park_count", "hotel"], k=5).collect()
+    assert {r["hotel"] for r in near} == {"A", "C"}
+    with pytest.raises(ValueError, match="lacks"):
+        similar_hotels(df, "N", {}, [F.col("id")], ["poi_park_count", "hotel"])

@@ -1,7 +1,4 @@
-"""Queries against their SQL at the smallest scale.
-
-All of them with ``SITECAST_ALL=1``; else one of each family.
-"""
+"""All queries against their SQL at the smallest scale."""
 
 import os
 import sys
@@ -14,14 +11,8 @@ import __spark_entry__ as entry  # noqa: E402
 from check import compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SOME = [
-    "read_geojson", "numeric_summary", "fill_forward_backward", "count_pois_within", "distance_edges", "rank_min", "seasonal_decompose",
-    "make_sequences", "attention_aggregate", "cold_start", "preprocess_bookings", "create_features", "create_location_features", "site_shortlist",
-]
-
-
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if os.environ.get("SITECAST_ALL") or n in SOME])
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_matches_sql(spark, name):
     said, _ = compare(spark, SF, name, entry.queries()[name], entry.oracle_sql()[name])
     assert said.startswith("ok"), said

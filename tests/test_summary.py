@@ -7,6 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from sitecast.operators import quantiles
 from sitecast.operators import summary as A
 from sitecast.operators.quantiles import quantile_values
 
@@ -60,13 +61,31 @@ def test_quantiles_through_brackets_with_a_hot_value(spark):
         F.pmod(F.xxhash64("id", F.lit(1)), F.lit(97)).cast("int").alias("y"),
     ).persist()
     qs = [0.001, 0.25, 0.333, 0.5, 0.66, 0.75, 0.999]
-    got = quantile_values(df, {"x": qs, "y": qs}, accuracy=1_000, whole_range_rows=5_000)
+    got = quantile_values(df, {"x": qs, "y": qs}, accuracy=1_000, inside_rows=100)
     for c in ("x", "y"):
         values = [float(r[0]) for r in df.select(c).collect()]
         for q in qs:
             assert got[c, q] == pytest.approx(exact(values, q), abs=1e-12), (c, q)
 
 
+def test_last_step_of_a_quantile_stays_small(spark, monkeypatch):
+    """A million distinct values: what is counted by value at the end is bounded."""
+    seen = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda base, wide, acc: (narrow(base, wide, acc), seen.append([b.inside for b in wide]))[0])
+    df = spark.range(1_000_000).select(F.col("id").cast("double").alias("x"))
+    got = quantile_values(df, {"x": [0.1, 0.5, 0.999]}, accuracy=500)
+    assert [got["x", q] for q in (0.1, 0.5, 0.999)] == pytest.approx([99_999.9, 499_999.5, 998_999.001])
+    assert len(seen) >= 2 and max(seen[-1]) <= quantiles.INSIDE_ROWS
+
+
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    """A sketch that answers nonsense costs passes, not the answer."""
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda c, e, a: F.array(F.max(c), F.max(c)))
+    df = spark.range(5_000).select(F.col("id").cast("double").alias("x"))
+    assert quantile_values(df, {"x": [0.25, 0.5]}) == {("x", 0.25): 1249.75, ("x", 0.5): 2499.5}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantile_values(df, {"x": [0.5]}) == {("x", 0.5): None}
@@ -107,6 +126,15 @@ def test_early_stop_tie_is_no_improvement(spark):
     assert (row["best_epoch"], row["stop_epoch"], row["stopped_early"]) == (7, 8, False)
 
 
+def test_early_stop_counts_rows_not_numbers(spark):
+    rows = [(1, 0, 9.0), (1, 5, 9.5), (1, 6, 8.0), (2, 10, None), (2, 20, None), (2, 30, 1.0)]
+    df = spark.createDataFrame(rows, "run int, epoch int, loss double")
+    got = {r["run"]: (r["best_epoch"], r["stop_epoch"], r["stopped_early"]) for r in A.early_stop(df, 3).collect()}
+    assert got == {1: (6, 6, False), 2: (30, 30, False)}
+    got = {r["run"]: (r["best_epoch"], r["stop_epoch"], r["stopped_early"]) for r in A.early_stop(df, 2).collect()}
+    assert got == {1: (6, 6, False), 2: (None, 20, True)}
+
+
 def test_spread_of_folds(spark):
     df = spark.createDataFrame([("mae", 1.0), ("mae", 3.0)], "metric string, value double")
     row = A.cv_summary(df).first()
