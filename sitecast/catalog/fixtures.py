@@ -65,7 +65,7 @@ SELECT location_id, 80000 + (site_key * 1009) % 70000 AS income_per_capita, 2 +
     "v_loc_competitor": """
 SELECT location_id, CAST((site_key * 3) % 10 AS INT) AS competitor_count FROM v_sites WHERE site_key % 7 <> 0""",
     "v_nodes": """
-SELECT s_suppkey AS node, s_acctbal AS distance, CAST(s_suppkey % 7 AS DOUBLE) AS x1, CAST(s_nationkey AS DOUBLE) AS x2, s_nationkey AS grp FROM supplier""",
+SELECT s_suppkey AS node, s_suppkey * 6e1 + s_acctbal / 1e2 AS distance, CAST(s_suppkey % 7 AS DOUBLE) AS x1, CAST(s_nationkey AS DOUBLE) AS x2, s_nationkey AS grp FROM supplier""",
     "v_monthly": """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, CAST(sum(CAST(round(o_totalprice * 1e2) AS BIGINT)) AS DOUBLE) / (1e2 * count(*)) AS value FROM orders
 WHERE (year(o_orderdate) * 12 + month(o_orderdate)) % 13 <> 5 GROUP BY 1""",
@@ -80,7 +80,7 @@ SELECT DISTINCT CAST(ts AS DATE) AS date, true AS is_holiday FROM events WHERE d
 SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value,
   CASE WHEN event_id % 150 = 0 THEN NULL ELSE user_id % 12 END AS month_no FROM events""",
     "v_pred": """
-SELECT booking_id, hotel, adr AS actual, round(adr * (0.9e0 + (booking_id % 21) / 1e2), 4) AS prediction, status_ts AS date FROM v_bookings WHERE adr > 0""",
+SELECT booking_id, hotel, adr AS actual, round(adr * (0.9e0 + (booking_id % 21) / 1e2), 4) AS prediction, status_ts AS date FROM v_bookings""",
     "v_history": """
 SELECT o_custkey AS run, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS INT) AS epoch,
   floor(o_totalprice / 1e4 + 0.5e0) / 1e1 AS loss FROM orders""",

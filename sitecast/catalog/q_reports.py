@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sitecast.catalog.fixtures import view
 from sitecast.catalog.q_joins import AMENITIES, BAND, COUNTS, GRID, GUESTS, LOCATIONS, MONTH_LIST, NEAR, PARTS, PEAK, POIS, SEASON, STAY
 from sitecast.catalog.q_models import FEATURES, scored_sites
-from sitecast.catalog.registry import query, rounded
+from sitecast.catalog.registry import each, query, rounded
 from sitecast.plans import reports as P
 from sitecast.plans.bookings import create_features, preprocess_bookings
 from sitecast.plans.endtoend import run_all
@@ -29,16 +29,16 @@ def _(spark, d):
     return rounded(P.actual_vs_predicted(view(spark, d, "v_pred")))
 
 
-def dashboard(spark, d):
+def dashboard(spark, d, name):
     forecasts = view(spark, d, "v_pred")
     sites = [view(spark, d, f"v_loc_{s}") for s in ("poi", "distance", "census", "competitor")]
     ranked = create_location_features(*sites).withColumn("predicted_score", F.col("income_per_capita").cast("double"))
-    return P.dashboard_tables(forecasts, ranked)
+    return P.dashboard_tables(forecasts, ranked, [name])[name]
 
 
 @query("dashboard_trend", "SELECT date, prediction, actual FROM v_pred")
 def _(spark, d):
-    return dashboard(spark, d)["trend"]
+    return dashboard(spark, d, "trend")
 
 
 @query(
@@ -46,7 +46,7 @@ def _(spark, d):
     f"SELECT location_id, CAST(income_per_capita AS DOUBLE) AS predicted_score FROM ({LOCATIONS}) t ORDER BY 2 DESC, 1 LIMIT 15",
 )
 def _(spark, d):
-    return dashboard(spark, d)["top_locations"]
+    return dashboard(spark, d, "top_locations")
 
 
 MEANS = {
@@ -63,26 +63,56 @@ MEANS = {
     loc=LOCATIONS,
 )
 def _(spark, d):
-    return rounded(dashboard(spark, d)["feature_means"])
+    return rounded(dashboard(spark, d, "feature_means"))
 
 
 @query(
     "spatial_points",
     "SELECT lat_e4 AS lat, lon_e4 AS lon, adr AS value, round(clat, 6) AS center_lat, round(clon, 6) AS center_lon, "
-    "concat('#', lpad(printf('%x', CAST(floor(255 * (1 - n)) AS INT)), 2, '0'), '00', lpad(printf('%x', CAST(floor(255 * n) AS INT)), 2, '0')) AS color, round(5 + n * 10, 6) AS radius FROM "
-    "(SELECT lat_e4, lon_e4, adr, clat, clon, (adr - lo) / (hi - lo) AS n FROM v_bookings, (SELECT avg(lat_e4) AS clat, avg(lon_e4) AS clon FROM v_bookings WHERE adr > 0), "
-    "(SELECT min(adr) AS lo, max(adr) AS hi FROM v_bookings WHERE adr > 0) WHERE adr > 0) t",
+    "CASE WHEN adr IS NOT NULL THEN concat('#', lpad(printf('%x', CAST(floor(255 * (1 - n)) AS INT)), 2, '0'), '00', lpad(printf('%x', CAST(floor(255 * n) AS INT)), 2, '0')) END AS color, "
+    "round(5 + n * 10, 6) AS radius FROM (SELECT lat_e4, lon_e4, adr, clat, clon, (adr - lo) / (hi - lo) AS n FROM v_bookings, "
+    "(SELECT avg(lat_e4) AS clat, avg(lon_e4) AS clon, min(adr) AS lo, max(adr) AS hi FROM v_bookings)) t",
 )
 def _(spark, d):
-    return rounded(P.spatial_points(view(spark, d, "v_bookings").filter("adr > 0"), "lat_e4", "lon_e4", "adr"))
+    return rounded(P.spatial_points(view(spark, d, "v_bookings"), "lat_e4", "lon_e4", "adr"))
 
 
-@query("eda_report")
+EDA_NUMBERS = ["booking_id", "adr", "lead_time", "children", "lat_e4", "lon_e4"]
+EDA_BINS = each(
+    EDA_NUMBERS,
+    "SELECT '{c}' AS \"column\", CAST(least(floor((CAST({c} AS DOUBLE) - lo) / ((hi - lo) / 50)), 49) AS INT) AS bin, count(*) AS \"count\" FROM v_bookings, "
+    "(SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM v_bookings) WHERE {c} IS NOT NULL GROUP BY 2",
+)
+
+
+def eda(spark, d):
+    """The report's input: its date is text and is found by its name."""
+    df = view(spark, d, "v_bookings").withColumn("status_date", F.date_format("status_ts", "yyyy-MM-dd"))
+    return P.eda_report(df.select(*EDA_NUMBERS, "hotel", "status_date"), "adr")
+
+
+@query(
+    "eda_distributions",
+    "SELECT c.name AS \"column\", CAST(b.bin AS INT) AS bin, coalesce(n.\"count\", 0) AS \"count\" FROM "
+    f"(SELECT unnest({EDA_NUMBERS}) AS name) c CROSS JOIN (SELECT unnest(range(50)) AS bin) b LEFT JOIN bins n ON n.\"column\" = c.name AND n.bin = b.bin",
+    bins=EDA_BINS,
+)
 def _(spark, d):
-    df = view(spark, d, "v_bookings").select(
-        "booking_id", "hotel", "adr", "lead_time", "children", "status_ts", "lat_e4", "lon_e4"
-    )
-    tables = P.eda_report(df, "adr")
+    return eda(spark, d)["distributions"].select("column", "bin", "count")
+
+
+MONTHS = "SELECT date_trunc('month', status_ts) AS m, count(adr) AS known FROM v_bookings GROUP BY 1"
+
+
+@query(
+    "eda_report",
+    "SELECT 'numeric' AS \"table\", 6 AS rows UNION ALL SELECT 'categorical', 1 UNION ALL SELECT 'datetime', 1 UNION ALL SELECT 'correlations', 5 "
+    "UNION ALL SELECT 'distributions', 300 UNION ALL SELECT 'points', count(*) FROM v_bookings UNION ALL SELECT 'monthly', span FROM months "
+    "UNION ALL SELECT 'moving_average', span FROM months UNION ALL SELECT 'decomposition', known FROM months",
+    months=f"SELECT date_diff('month', min(m), max(m)) + 1 AS span, count(CASE WHEN known > 0 THEN 1 END) AS known FROM ({MONTHS}) t",
+)
+def _(spark, d):
+    tables = eda(spark, d)
     counts = [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows") for name, t in tables.items()]
     out = counts[0]
     for c in counts[1:]:
@@ -97,7 +127,7 @@ def reports(spark, d):
 
 @query(
     "report_metrics",
-    f"SELECT count(*) AS n, round(avg((actual - prediction) ** 2), 6) AS mse, round(sqrt(avg((actual - prediction) ** 2)), 6) AS rmse, "
+    f"SELECT count(actual) AS n, round(avg((actual - prediction) ** 2), 6) AS mse, round(sqrt(avg((actual - prediction) ** 2)), 6) AS rmse, "
     f"round(avg(abs(actual - prediction)), 6) AS mae, round({R2}, 6) AS r2 FROM v_pred",
 )
 def _(spark, d):

@@ -157,7 +157,7 @@ def _(spark, d):
 
 @query(
     "regression_metrics",
-    "SELECT hotel, count(*) AS n, round(avg((actual - prediction) ** 2), 6) AS mse, round(sqrt(avg((actual - prediction) ** 2)), 6) AS rmse, "
+    "SELECT hotel, count(actual) AS n, round(avg((actual - prediction) ** 2), 6) AS mse, round(sqrt(avg((actual - prediction) ** 2)), 6) AS rmse, "
     "round(avg(abs(actual - prediction)), 6) AS mae, round(1 - avg((actual - prediction) ** 2) / var_pop(actual), 6) AS r2 FROM v_pred GROUP BY hotel",
 )
 def _(spark, d):
@@ -171,10 +171,11 @@ def _(spark, d):
     "round(0.5 * mse + 0.3 * smooth_l1 + 0.2 * msle, 6) AS combined FROM parts",
     parts="SELECT avg((prediction - actual) ** 2) AS mse, "
     "avg(CASE WHEN abs(prediction - actual) < 1 THEN 0.5 * (prediction - actual) ** 2 ELSE abs(prediction - actual) - 0.5 END) AS smooth_l1, "
-    "avg((ln(prediction + 1e-8) - ln(actual + 1e-8)) ** 2) AS msle FROM v_pred",
+    "avg((ln(prediction + 1e-8) - ln(actual + 1e-8)) ** 2) AS msle FROM (SELECT coalesce(abs(actual), 0) AS actual, coalesce(abs(prediction), 0) AS prediction FROM v_pred) t",
 )
 def _(spark, d):
-    loss = A.combined_loss(view(spark, d, "v_pred"), "actual", "prediction")
+    sizes = view(spark, d, "v_pred").select(*[F.coalesce(F.abs(c), F.lit(0.0)).alias(c) for c in ("actual", "prediction")])
+    loss = A.combined_loss(sizes, "actual", "prediction")
     return loss.withColumns({**{c: F.round(c, 6) for c in ("mse", "smooth_l1", "combined")}, "msle": F.round("msle", 6)})
 
 

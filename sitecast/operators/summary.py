@@ -271,6 +271,28 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     )
 
 
+def histograms(df: DataFrame, cols: Sequence[str], bins: int = 50) -> DataFrame:
+    """``histogram`` of many columns in two passes: ``(column, bin, lower, upper, count)``."""
+    base = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    spans = base.agg(*[f(f"c{i}").alias(f"{n}{i}") for i in range(len(cols)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    rows, parts = [], []
+    for i, c in enumerate(cols):
+        lo, hi = spans[f"lo{i}"], spans[f"hi{i}"]
+        if lo is not None and lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        width = None if lo is None else (hi - lo) / bins
+        rows += [(i, c, k, None if lo is None else lo + k * width, None if lo is None else lo + (k + 1) * width) for k in range(bins)]
+        if lo is not None:
+            place = F.least(F.floor((F.col(f"c{i}") - lo) / width), F.lit(bins - 1)).cast("int")
+            at = F.when(F.col(f"c{i}").isNotNull(), place)  # least() passes over NULL
+            parts.append(F.struct(F.lit(i).alias("i"), at.alias("bin")))
+    spine = df.sparkSession.createDataFrame(rows, "i int, column string, bin int, lower double, upper double")
+    if not parts:
+        return spine.select("column", "bin", "lower", "upper", F.lit(0).cast("long").alias("count"))
+    counted = base.select(F.inline(F.array(*parts))).filter(F.col("bin").isNotNull()).groupBy("i", "bin").agg(F.count(F.lit(1)).alias("count"))
+    return spine.join(counted, ["i", "bin"], "left").select("column", "bin", "lower", "upper", F.coalesce("count", F.lit(0)).alias("count"))
+
+
 def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] | None = None) -> DataFrame:
     """MSE, RMSE, MAE and R2 of (actual, predicted) pairs, whole or per group."""
     pairs = df.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())

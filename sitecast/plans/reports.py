@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from sitecast.functions.encoding import marker_style
 from sitecast.operators.columns import columns_by_kind, columns_matching
 from sitecast.operators.ranking import top_n
 from sitecast.operators.summary import (
-    categorical_summary, column_means_ranked, datetime_summary, histogram, numeric_summary, regression_metrics, target_correlations,
+    categorical_summary, column_means_ranked, datetime_summary, histograms, numeric_summary, regression_metrics, target_correlations,
 )
 from sitecast.operators.timeseries import resample_mean, rolling_mean, seasonal_decompose
 
@@ -28,19 +30,25 @@ def actual_vs_predicted(df: DataFrame, y: str = "actual", yhat: str = "predictio
     )
 
 
-def dashboard_tables(forecasts: DataFrame, locations: DataFrame) -> dict[str, DataFrame]:
-    """Forecast trend, best 15 sites, feature means, and actual against predicted."""
+DASHBOARD = ("trend", "top_locations", "feature_means", "actual_vs_predicted")
+
+
+def dashboard_tables(forecasts: DataFrame, locations: DataFrame, names: Sequence[str] = DASHBOARD) -> dict[str, DataFrame]:
+    """Forecast trend, best 15 sites, feature means, and actual against predicted.
+
+    Only the tables in ``names`` are built, and those whose columns are there.
+    """
     out = {}
-    if {"date", "prediction"} <= set(forecasts.columns):
+    if "trend" in names and {"date", "prediction"} <= set(forecasts.columns):
         trend = [c for c in ("date", "prediction", "actual") if c in forecasts.columns]
         out["trend"] = forecasts.select(*trend).orderBy(*trend)
-    if {"location_id", "predicted_score"} <= set(locations.columns):
+    if "top_locations" in names and {"location_id", "predicted_score"} <= set(locations.columns):
         out["top_locations"] = top_n(locations, "predicted_score", 15, "location_id").select("location_id", "predicted_score")
     shown = list(dict.fromkeys(columns_matching(locations, prefix="poi_") + columns_matching(locations, ["distance_", "density"])))
     shown = [c for c in shown if c in columns_by_kind(locations)["numeric"]]
-    if shown:
+    if "feature_means" in names and shown:
         out["feature_means"] = column_means_ranked(locations, shown)
-    if {"actual", "prediction"} <= set(forecasts.columns):
+    if "actual_vs_predicted" in names and {"actual", "prediction"} <= set(forecasts.columns):
         out["actual_vs_predicted"] = actual_vs_predicted(forecasts)
     return out
 
@@ -58,14 +66,21 @@ def spatial_points(df: DataFrame, lat: str, lon: str, value: str | None = None)
 
 
 def eda_report(df: DataFrame, target: str | None = None, bins: int = 50) -> dict[str, DataFrame]:
-    """All exploratory tables, with the place and date columns found by name."""
+    """All exploratory tables, with the place and date columns found by name.
+
+    A text column with "date" in its name is read as a date; what does not parse
+    is NULL, and a column in which nothing parses stays text.
+    """
+    texts = [c for c in columns_by_kind(df)["categorical"] if "date" in c.lower() and dict(df.dtypes)[c] == "string"]
+    if texts:
+        found = df.agg(*[F.count(F.try_to_date(F.col(c))).alias(f"n{i}") for i, c in enumerate(texts)]).first()
+        df = df.withColumns({c: F.try_to_date(F.col(c)) for i, c in enumerate(texts) if found[f"n{i}"]})
     kinds = columns_by_kind(df)
-    out = {"numeric": numeric_summary(df), "categorical": categorical_summary(df)}
+    out = {"numeric": numeric_summary(df), "categorical": categorical_summary(df), "distributions": histograms(df, kinds["numeric"], bins)}
     if kinds["datetime"]:
         out["datetime"] = datetime_summary(df)
     if target:
         out["correlations"] = target_correlations(df, target)
-        out["histogram"] = histogram(df, target, bins)
     lat = [c for c in kinds["numeric"] if "lat" in c.lower()]
     lon = [c for c in kinds["numeric"] if "lon" in c.lower()]
     if lat and lon:

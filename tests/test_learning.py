@@ -108,7 +108,7 @@ def test_reports(spark, tmp_path):
     tables = dashboard_tables(df, locs)
     assert set(tables) == {"trend", "top_locations", "feature_means", "actual_vs_predicted"}
     assert tables["top_locations"].count() == 15
-    assert {"numeric", "categorical", "correlations", "histogram"} <= set(eda_report(df, "actual"))
+    assert {"numeric", "categorical", "correlations", "distributions"} <= set(eda_report(df, "actual"))
     path = write_summary_json({"nulls": null_profile(df)}, str(tmp_path / "s"))
     rows = read_summary_json(spark, path, "nulls", "column string, nulls long").collect()
     assert {r["column"]: r["nulls"] for r in rows} == {"actual": 0, "prediction": 0, "date": 1}
