@@ -35,6 +35,8 @@ HEADLINE = [
     "preprocess_bookings",
     "create_features",
 ]
+#: Timed as well, but outside the total: fits of the models.
+APART = ["fit_demand_model", "grid_search"]
 
 
 def main() -> None:
@@ -48,7 +50,7 @@ def main() -> None:
     spark = local_session(cpus, "bench")
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
-    for name in HEADLINE:
+    for name in HEADLINE + APART:
         best = float("inf")
         for i in range(runs + 1):
             start = time.perf_counter()
@@ -60,9 +62,10 @@ def main() -> None:
         print(f"{name} {best:.2f}s", file=sys.stderr, flush=True)
     out = {
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(times[n] for n in HEADLINE), 3),
         "unit": "sec",
-        "queries": times,
+        "queries": {n: times[n] for n in HEADLINE},
+        "apart": {n: times[n] for n in APART},
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(out))

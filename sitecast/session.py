@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIR: dict[str, str] = {}
+_OWNED: list[list[str]] = []
 
 
 def local_session(cpus: str | int = "*", name: str = "sitecast") -> SparkSession:
@@ -57,5 +60,25 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sitecast-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``materialize`` stores inside, once the job is done with them.
+
+    For jobs that write their results elsewhere: a DataFrame built on such a table
+    cannot be read afterwards.  Without it stage tables stay in the shared folder.
+    """
+    mine: list[str] = []
+    _OWNED.append(mine)
+    try:
+        yield
+    finally:
+        _OWNED.pop()
+        for path in mine:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -101,3 +101,16 @@ def test_time_split(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1 + i // 4), i) for i in range(11)], "ts timestamp, id int")
     out = T.time_split(df, ["ts", "id"], 0.8).orderBy("id").collect()
     assert [r["split"] for r in out] == ["train"] * 8 + ["validation"] * 3
+
+
+def test_stage_tables_go_with_their_job(spark):
+    from sitecast.session import materialize, stage_tables
+
+    with stage_tables(spark):
+        inside = materialize(spark.range(3))
+        assert inside.count() == 3
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+    outside = materialize(spark.range(4))
+    assert outside.count() == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
