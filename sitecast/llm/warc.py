@@ -9,14 +9,20 @@ then the stored headers are updated by those that a 304 answer may carry.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecast.operators.ordering import prefixed
+from sitecast.session import materialize
 
 # The headers a 304 answer updates, and the revisit profile.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 PROFILE = "server-not-modified"
+_EMPTY_LINE = re.compile(r"\r?\n\r?\n")
 #: Query parameters that do not name another resource.
 TRACKING = r"(?i)^(utm_[a-z]+|ref|sessionid|phpsessid|jsessionid|fbclid|gclid)(=|$)"
 
@@ -43,16 +49,14 @@ def canonical_url(url: Column) -> Column:
     return F.when(host != "", out)
 
 
-def _fields(block: Column) -> Column:
-    """Header lines of a block as sorted ``(name, value)`` with names in lower case; the last of a name counts."""
-    lines = F.filter(F.split(block, "\r?\n"), lambda x: F.instr(x, ":") > 1)
-    pairs = F.transform(
-        lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("name"), F.trim(F.regexp_replace(x, "^[^:]*:", "")).alias("value"))
-    )
-    names = F.array_distinct(F.transform(pairs, lambda x: x["name"]))
-    return F.array_sort(
-        F.transform(names, lambda n: F.struct(n.alias("name"), F.element_at(F.filter(pairs, lambda x: x["name"] == n), -1)["value"].alias("value")))
-    )
+def _fields(block: str) -> list[dict[str, str]]:
+    """Header lines of a block by name in lower case; the last of a name counts."""
+    found = {}
+    for line in block.splitlines():
+        name, colon, value = line.partition(":")
+        if colon and name.strip():
+            found[name.strip().lower()] = value.strip()
+    return [{"name": n, "value": found[n]} for n in sorted(found)]
 
 
 def _value(fields: Column, name: str) -> Column:
@@ -65,19 +69,34 @@ def parse_records(raw: DataFrame, record: str = "record") -> DataFrame:
     A record is a WARC header block, an empty line, an HTTP header block, an empty
     line and the body.  A null or malformed record gives nulls, not an error.
     """
-    text = F.regexp_replace(F.col(record), "\r\n", "\n")
-    cut = F.split(text, "\n\n", 3)
-    rows = raw.select(_fields(F.get(cut, F.lit(0))).alias("w"), F.get(cut, F.lit(1)).alias("h"), F.get(cut, F.lit(2)).alias("body"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
+        for batch in batches:
+            # The first empty line ends the record's header, the second that of the answer.
+            parts = [(_EMPTY_LINE.split(v.as_py() or "", 2) + ["", ""])[:3] for v in batch.column(0)]
+            answers = [h.partition("\n") if h.startswith("HTTP/") else ("", "", h) for _, h, _ in parts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_fields(w) for w, _, _ in parts], fields), pa.array([first for first, _, _ in answers], pa.string()),
+                    pa.array([_fields(rest) for _, _, rest in answers], fields), pa.array([body for _, _, body in parts], pa.string()),
+                ],
+                names=["w", "answer", "headers", "body"],
+            )
+
+    fields = "array<struct<name: string, value: string>>"
+    rows = raw.select(record).mapInArrow(cut, f"w {fields}, answer string, headers {fields}, body string")
+    rows = rows.withColumn("uri", _value(F.col("w"), "warc-target-uri"))
     return rows.select(
         _value(F.col("w"), "warc-record-id").alias("record_id"),
         F.lower(_value(F.col("w"), "warc-type")).alias("type"),
-        _value(F.col("w"), "warc-target-uri").alias("uri"),
-        canonical_url(_value(F.col("w"), "warc-target-uri")).alias("canonical"),
+        "uri",
+        canonical_url(F.col("uri")).alias("canonical"),
         F.try_to_timestamp(_value(F.col("w"), "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("date"),
         _value(F.col("w"), "warc-profile").alias("profile"),
-        F.regexp_extract(F.col("h"), r"^HTTP/\S+ (\d{3})", 1).try_cast("int").alias("http_status"),
-        _fields(F.regexp_replace("h", "^HTTP/[^\n]*\n?", "")).alias("headers"),
-        F.coalesce("body", F.lit("")).alias("body"),
+        F.regexp_extract("answer", r"^HTTP/\S+ (\d{3})", 1).try_cast("int").alias("http_status"),
+        "headers",
+        "body",
     )
 
 
@@ -106,7 +125,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.coalesce(full, F.lit(False)).alias("full"),
         F.coalesce(revisit, F.lit(False)).alias("revisit"),
         F.sha2("body", 256).alias("digest"),
-    ).where("full or revisit")
+    )
+    # Stored before it is sorted: a range sort reads its input twice.
+    narrow = materialize(narrow).where("full or revisit")
     placed = F.col("canonical").isNotNull() & F.col("date").isNotNull()
     stored = F.when(F.col("full") & placed, F.struct("date", "record_id", "headers", "digest"))
     met = prefixed(narrow, ["canonical"], [F.col("date"), F.col("full"), F.col("record_id"), F.col("uri")], {"last": ("max", stored, "before")})
