@@ -56,6 +56,9 @@ class PieceEncoder:
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[n for token, n in vocabulary.items() if token[:1] == "\u0120"]] = True  # byte-level BPE writes a space so
         self._reset()
 
     def _reset(self) -> None:
@@ -88,19 +91,22 @@ class PieceEncoder:
         self.count += len(pieces)
 
     def _add(self, pieces: list[str]) -> None:
-        """Encode pieces; those that start at a joint go through the tokenizer as one text."""
-        joined = [x for x in pieces if x[:1] == " "]
+        """Encode pieces; those that start at a joint go through the tokenizer as one text.
+
+        Such a piece has no other space, so its first token, and no other, starts with one.
+        """
+        joined = [x for x in pieces if x[:1] == " " and " " not in x[1:]]
         for first in range(0, len(joined), PIECES_AT_ONCE):
             some = joined[first : first + PIECES_AT_ONCE]
-            lengths = np.fromiter(map(len, some), np.int64, len(some))
-            got = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            # Each token starts inside the piece that it belongs to.
-            starts = np.fromiter((x[0] for x in got.offsets), np.int64, len(got))
-            owner = np.searchsorted(np.cumsum(lengths), starts, "right")
-            self._put(some, np.array(got.ids, np.int32), np.bincount(owner, minlength=len(some)))
+            (got,) = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids = np.array(got.ids, np.int32)
+            starts = np.flatnonzero(self.spaced[ids])
+            assert len(starts) == len(some)
+            self._put(some, ids, np.diff(starts, append=len(ids)))
         for piece in pieces:
-            if piece[:1] != " ":
-                ids = np.array(self.tokenizer.encode(piece[1:], add_special_tokens=False).ids, np.int32)
+            if piece[:1] != " " or " " in piece[1:]:
+                text = piece[1:] if piece[:1] == "\0" else piece
+                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
                 self._put([piece], ids, np.array([len(ids)]))
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
