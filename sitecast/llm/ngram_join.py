@@ -12,8 +12,8 @@ intersected.
    count, summed block by block while rows stream through.
 2. One pass stores, per document, its set size, a fingerprint of its set (equal
    sets are one *node*) and its prefix under the first order.
-3. Rows (token, node) meet by token.  Every node of a token is compared with the
-   token's least node only, which joins groups of near copies at linear cost.
+3. Rows (token, node) meet by token.  Every node of a token is compared with one
+   leading node only, which joins groups of near copies at linear cost.
 4. What is still apart is compared in full: all pairs of nodes that share a
    prefix token and lie in different components so far, less those whose shared
    tokens come too late or are too few.
@@ -209,13 +209,15 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     stored = _stored_prefixes(docs, key, text, classes)
 
     # Rows (token, node) of tokens that two nodes share.  ``spot`` packs the set size
-    # and the token's place in the prefix; ``lead`` is the token's least node where
-    # this may be the first token that both share.
+    # and the token's place in the prefix.  ``lead`` is the node in which the token
+    # comes earliest (of a group of near copies, one with few tokens of its own),
+    # where this may be the first token that both share.
     rows = stored.select("node", "n", F.posexplode("prefix").alias("i", "token"))
     rows = rows.select("token", "node", (F.shiftleft("n", 32) + F.col("i")).alias("spot"))
     by_token = Window.partitionBy("token")
-    met = rows.withColumns({"_lead": F.min(F.struct("node", "spot")).over(by_token), "_last": F.max("node").over(by_token)})
-    met = met.where("_lead.node <> _last")
+    earliest = F.min(F.struct(_spot("spot")[1].alias("i"), "node", "spot")).over(by_token)
+    met = rows.withColumns({"_lead": earliest, "_least": F.min("node").over(by_token), "_last": F.max("node").over(by_token)})
+    met = met.where("_least <> _last")
     n, i = _spot("spot")
     m, j = _spot("_lead.spot")
     first = (F.col("node") != F.col("_lead.node")) & _alike(n, m) & (i <= n - _least(n, m)) & (j <= m - _least(n, m))
@@ -230,7 +232,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     found = named.join(side, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_hash") == F.col("hash")))
     texts = materialize(found.groupBy("node").agg(F.min("text").alias("text")) if _repeats(stored) else found.select("node", "text"))
 
-    # Links to the least node of a token, and the components that they give.
+    # Links to the leading node of a token, and the components that they give.
     stars = shared.where("lead is not null").select(F.col("node").alias("src"), F.col("lead").alias("dst"))
     stars = materialize(stars.distinct())
     links = _verify(stars, texts, classes)
