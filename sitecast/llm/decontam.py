@@ -2,8 +2,8 @@
 
 Fixed masks over a span of tokens ignore some positions, so a copied passage is
 still hit when tokens at those positions were replaced.  Hashes of the masked
-tokens at every position of the training texts meet those of the benchmark; around
-each hit the benchmark's window is laid over the text, token by token, and counts
+tokens at every position of the training texts meet those of the benchmark; at each
+hit the benchmark's windows are laid over the text, token by token, and one counts
 when enough positions agree, whichever they are.
 
 DataFrame functions only.  Tokens are runs of letters and digits in lower case.
@@ -11,9 +11,6 @@ DataFrame functions only.  Tokens are runs of letters and digits in lower case.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +25,7 @@ SHORT_SPAN = 6
 #: Tokens of the window compared around a hit, and the share of them that must agree.
 WINDOW = 24
 AGREE = 0.8
-#: Of the hits of one item along one diagonal, one in so many tokens is compared.
+#: Read by the SQL only, which compares one hit in so many tokens; the operator lays every window over the text.
 STRIDE = 8
 #: Benchmark seeds up to so many are broadcast; more are shuffled.
 SEED_ROWS = 2_000_000
@@ -53,32 +50,41 @@ def _seed(number: int, mask: tuple[int, ...]) -> Column:
     return F.when(F.col(f"h{mask[-1]}").isNotNull(), F.xxhash64(F.lit(number), *[F.col(f"h{k}") for k in mask]))
 
 
-def _benchmark_seeds(bench: DataFrame, item: str, text: str) -> DataFrame:
-    """``(seed, item, j, off, window)`` of distinct windows around each benchmark position.
+def _segments(bench: DataFrame, item: str, text: str) -> DataFrame:
+    """``(sid, item, segment)``: stretches of the items, each stretch of tokens once.
 
-    Items with fewer tokens than ``SPAN`` have short masks only, items with fewer
-    than ``SHORT_SPAN`` none: so few words cannot be told from chance.
+    A segment has two windows' tokens and starts a window after the one before, so
+    every window of an item lies in one of its segments.  Items of fewer than
+    ``SHORT_SPAN`` tokens have none: so few words cannot be told from chance.
     """
     items = bench.select(F.col(item).alias("item"), token_hashes(F.col(text)).alias("t"))
     items = items.where(F.size("t") >= SHORT_SPAN).groupBy("t").agg(F.min("item").alias("item"))
-    items = items.withColumn("n", F.size("t"))
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - (WINDOW - SPAN) // 2, F.col("n") - WINDOW))
-    rows = _placed(items, ["item", "n", "t"], "t", SPAN)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("t") - WINDOW, F.lit(0)), F.lit(WINDOW))
+    cut = items.select("item", F.explode(F.transform(starts, lambda s: F.slice("t", s + 1, F.lit(2 * WINDOW)))).alias("segment"))
+    return cut.groupBy("segment").agg(F.min("item").alias("item")).select(F.xxhash64("segment").alias("sid"), "item", "segment")
+
+
+def _segment_seeds(segments: DataFrame) -> DataFrame:
+    """``(seed, sid, off, short)`` of each place of the segments."""
     long = F.array(*[_seed(k, m) for k, m in enumerate(MASKS)])
     short = F.array(*[_seed(len(MASKS) + k, m) for k, m in enumerate(SHORT_MASKS)])
-    rows = rows.withColumn("_seeds", F.when(F.col("n") >= SPAN, long).otherwise(short)).withColumn("_start", start)
-    rows = rows.select(
-        "item",
-        F.col("pos").alias("j"),
-        (F.col("pos") - F.col("_start")).alias("off"),
-        F.slice("t", F.col("_start") + 1, F.lit(WINDOW)).alias("window"),
-        (F.col("n") < SPAN).alias("short"),
-        F.explode("_seeds").alias("seed"),
-    )
-    # A window that many items share is one row.
-    return rows.where("seed is not null").groupBy("seed", "window", "off").agg(
-        F.min(F.struct("item", "j")).alias("at"), F.max("short").alias("short")
-    ).select("seed", "at.item", "at.j", "off", "window", "short")
+    rows = _placed(segments.withColumn("short", F.size("segment") < SPAN), ["sid", "short", "segment"], "segment", SPAN)
+    rows = rows.select("sid", "short", F.col("pos").alias("off"), F.explode(F.when(F.col("short"), short).otherwise(long)).alias("seed"))
+    return rows.where("seed is not null").select("seed", "sid", "off", "short").distinct()
+
+
+def _most_agreeing() -> Column:
+    """The most tokens that agree in any window of ``segment`` laid over ``t`` from ``start`` on."""
+
+    def agree(k: Column) -> Column:
+        return F.coalesce((F.get("segment", k) == F.get("t", F.col("start") + k)).cast("int"), F.lit(0))
+
+    def step(a: Column, k: Column) -> Column:
+        now = a["now"] + agree(k) - agree(k - WINDOW)
+        return F.struct(now.alias("now"), F.greatest(a["best"], now).alias("best"))
+
+    places = F.sequence(F.lit(0), F.size("segment") - 1)
+    return F.aggregate(places, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), step, lambda a: a["best"])
 
 
 def contaminated(
@@ -88,26 +94,21 @@ def contaminated(
 
     ``hash`` is a hash of the text, so rows with equal keys stay apart; ``n_match``
     of ``n_window`` tokens agree in the best window of the item.  Of items with
-    equal tokens, and of items that share a window, the least id is named.  Null and
+    equal tokens, and of items that share a segment, the least id is named.  Null and
     empty texts match nothing; a null key is a key.  Empty tables give no rows.
     Positions of a window before or behind the text count as different.
     """
-    seeds = materialize(_benchmark_seeds(bench, item, item_text))
+    segments = materialize(_segments(bench, item, item_text))
+    seeds = materialize(_segment_seeds(segments))
     n_seeds, short = seeds.agg(F.count("*"), F.max("short")).first()
     masks = list(enumerate(MASKS + SHORT_MASKS if short else MASKS))
 
     named = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("hash"), token_hashes(F.col(text)).alias("t"))
     every = _placed(named, ["doc", "hash"], "t", SPAN)
     every = every.select("doc", "hash", "pos", F.explode(F.array(*[_seed(k, m) for k, m in masks])).alias("seed"))
-    hits = every.where("seed is not null").join(
-        checked_side(seeds.select("seed", "item", "j"), n_seeds, SEED_ROWS), "seed"
-    )
-    hits = hits.groupBy("doc", "hash", "item", (F.col("pos") - F.col("j")).alias("diagonal"), F.floor(F.col("j") / STRIDE).alias("_step"))
-    hits = materialize(hits.agg(F.min(F.struct("pos", "seed")).alias("at")).select("doc", "hash", "diagonal", "at.pos", "at.seed", "item"))
-    windows = hits.join(checked_side(seeds, n_seeds, SEED_ROWS // 20), ["seed", "item"])
-    windows = windows.where(F.col("pos") - F.col("j") == F.col("diagonal")).select(
-        "doc", "hash", "item", (F.col("pos") - F.col("off")).alias("start"), "window"
-    )
+    hits = every.where("seed is not null").join(checked_side(seeds.select("seed", "sid", "off"), n_seeds, SEED_ROWS), "seed")
+    hits = materialize(hits.select("doc", "hash", "sid", (F.col("pos") - F.col("off")).alias("start")).distinct())
+    windows = hits.join(checked_side(segments, n_seeds, SEED_ROWS // 20), "sid")
 
     found = hits.select("doc", "hash").distinct()
     side = checked_side(materialize(found), found.count())
@@ -115,11 +116,7 @@ def contaminated(
     raw = raw.join(side, raw["_d"].eqNullSafe(side["doc"]) & (raw["_h"] == side["hash"]), "left_semi").dropDuplicates(["_d", "_h"])
     tokens = raw.select("_d", "_h", token_hashes(F.col("_text")).alias("t"))
     laid = windows.join(tokens, windows["doc"].eqNullSafe(tokens["_d"]) & (windows["hash"] == tokens["_h"]))
-    same = [
-        F.coalesce((F.get("window", F.lit(k)) == F.when(F.col("start") + k >= 0, F.get("t", F.col("start") + k))).cast("int"), F.lit(0))
-        for k in range(WINDOW)
-    ]
-    laid = laid.select("doc", "hash", "item", F.size("window").alias("n_window"), reduce(add, same).alias("n_match"))
+    laid = laid.select("doc", "hash", "item", F.least(F.size("segment"), F.lit(WINDOW)).alias("n_window"), _most_agreeing().alias("n_match"))
     best = laid.groupBy("doc", "hash", "item").agg(
         F.max(F.struct((F.col("n_match") / F.col("n_window")).alias("share"), "n_match", "n_window")).alias("best")
     )

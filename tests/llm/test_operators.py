@@ -1,5 +1,6 @@
 """Operators on small tables with awkward rows, against brute force."""
 
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -316,6 +317,35 @@ def test_contaminated(spark, none):
     assert decontam.contaminated(table, bench.limit(0)).count() == 0
 
 
+def plain_contaminated(texts, items):
+    """``{(doc, item): (n_match, n_window)}`` of all windows of all items laid at all places, without seeds."""
+    out = {}
+    for (d, text), (i, item) in itertools.product(texts.items(), items.items()):
+        t, b = text.split(" "), item.split(" ")
+        n = min(len(b), decontam.WINDOW)
+        for at in range(-len(b), len(t)):
+            same = [0 <= at + k < len(t) and t[at + k] == w for k, w in enumerate(b)]
+            best = max(sum(same[k : k + n]) for k in range(len(b) - n + 1))
+            if best / n >= decontam.AGREE:
+                out[d, i] = max(out.get((d, i), (0, 0)), (best, n))
+    return out
+
+
+def found_in(spark, texts, items):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    return {(r.doc, r.item): (r.n_match, r.n_window) for r in decontam.contaminated(docs, bench).collect()}
+
+
+def test_excerpts_at_any_place_of_an_item(spark):
+    draw = random.Random(3)
+    item = " ".join(f"w{draw.randrange(10**6)}" for _ in range(59))
+    cuts = [(k, n) for n in (20, 22, 24) for k in range(59 - n + 1)]
+    texts = {d: f"before {' '.join(item.split(' ')[k : k + n])} behind" for d, (k, n) in enumerate(cuts)}
+    want = plain_contaminated(texts, {1: item})
+    assert len(want) == len(cuts) and found_in(spark, texts, {1: item}) == want
+
+
 def test_quality_rules(docs, none):
     out = quality.quality_rules(docs)
     rows = out.collect()
