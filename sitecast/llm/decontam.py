@@ -17,16 +17,20 @@ from pyspark.sql import functions as F
 from sitecast.llm.tables import checked_side, fresh
 from sitecast.session import materialize
 
-#: Token offsets that each mask compares.  A short item is matched by short masks.
+#: Token offsets that each mask compares.  Of a window of ``SHORT_SPAN`` to ``WINDOW`` tokens in which a
+#: share of ``AGREE`` agrees, wherever the others are, one mask at one place meets agreeing tokens only.
+SEEDS = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4))
+SEED_SPAN = 5
+#: Fewest tokens of an item.
+SHORT_SPAN = 6
+#: Read by the SQL only: longer masks by length of the item, and one hit compared in so many tokens.
 MASKS = ((0, 1, 2, 4, 5, 6, 8, 9, 10), (0, 1, 2, 5, 6, 7, 9, 10, 11), (0, 1, 2, 4, 5, 6, 9, 10, 11))
 SHORT_MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5))
 SPAN = 12
-SHORT_SPAN = 6
+STRIDE = 8
 #: Tokens of the window compared around a hit, and the share of them that must agree.
 WINDOW = 24
 AGREE = 0.8
-#: Read by the SQL only, which compares one hit in so many tokens; the operator lays every window over the text.
-STRIDE = 8
 #: Benchmark seeds up to so many are broadcast; more are shuffled.
 SEED_ROWS = 2_000_000
 
@@ -64,13 +68,10 @@ def _segments(bench: DataFrame, item: str, text: str) -> DataFrame:
     return cut.groupBy("segment").agg(F.min("item").alias("item")).select(F.xxhash64("segment").alias("sid"), "item", "segment")
 
 
-def _segment_seeds(segments: DataFrame) -> DataFrame:
-    """``(seed, sid, off, short)`` of each place of the segments."""
-    long = F.array(*[_seed(k, m) for k, m in enumerate(MASKS)])
-    short = F.array(*[_seed(len(MASKS) + k, m) for k, m in enumerate(SHORT_MASKS)])
-    rows = _placed(segments.withColumn("short", F.size("segment") < SPAN), ["sid", "short", "segment"], "segment", SPAN)
-    rows = rows.select("sid", "short", F.col("pos").alias("off"), F.explode(F.when(F.col("short"), short).otherwise(long)).alias("seed"))
-    return rows.where("seed is not null").select("seed", "sid", "off", "short").distinct()
+def _seeds(df: DataFrame, keep: list[str], tokens: str) -> DataFrame:
+    """``(*keep, pos, seed)``: the seeds at each place of the tokens."""
+    rows = _placed(df, keep, tokens, SEED_SPAN)
+    return rows.select(*keep, "pos", F.explode(F.array(*[_seed(k, m) for k, m in enumerate(SEEDS)])).alias("seed")).where("seed is not null")
 
 
 def _most_agreeing() -> Column:
@@ -99,14 +100,12 @@ def contaminated(
     Positions of a window before or behind the text count as different.
     """
     segments = materialize(_segments(bench, item, item_text))
-    seeds = materialize(_segment_seeds(segments))
-    n_seeds, short = seeds.agg(F.count("*"), F.max("short")).first()
-    masks = list(enumerate(MASKS + SHORT_MASKS if short else MASKS))
+    seeds = materialize(_seeds(segments, ["sid"], "segment"))
+    n_seeds = seeds.count()
 
     named = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("hash"), token_hashes(F.col(text)).alias("t"))
-    every = _placed(named, ["doc", "hash"], "t", SPAN)
-    every = every.select("doc", "hash", "pos", F.explode(F.array(*[_seed(k, m) for k, m in masks])).alias("seed"))
-    hits = every.where("seed is not null").join(checked_side(seeds.select("seed", "sid", "off"), n_seeds, SEED_ROWS), "seed")
+    off = checked_side(seeds.select("seed", "sid", F.col("pos").alias("off")), n_seeds, SEED_ROWS)
+    hits = _seeds(named, ["doc", "hash"], "t").join(off, "seed")
     hits = materialize(hits.select("doc", "hash", "sid", (F.col("pos") - F.col("off")).alias("start")).distinct())
     windows = hits.join(checked_side(segments, n_seeds, SEED_ROWS // 20), "sid")
 

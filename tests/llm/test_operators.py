@@ -346,6 +346,26 @@ def test_excerpts_at_any_place_of_an_item(spark):
     assert len(want) == len(cuts) and found_in(spark, texts, {1: item}) == want
 
 
+def test_every_agreeing_window_holds_a_seed():
+    for n in range(decontam.SHORT_SPAN, decontam.WINDOW + 1):
+        places = [{p + o for o in m} for m in decontam.SEEDS for p in range(n - m[-1])]
+        most = max(e for e in range(n) if (n - e) / n >= decontam.AGREE)
+        assert all(any(p.isdisjoint(wrong) for p in places) for wrong in itertools.combinations(range(n), most))
+
+
+def test_short_items_with_substitutions(spark):
+    draw = random.Random(5)
+    items, texts = {}, {}
+    for n in (6, 9, 12, 15, 18, 20, 23, 24, 30):
+        w = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        items[n] = " ".join(w)
+        for k in range(40):
+            wrong = draw.sample(range(n), draw.randint(0, n // 5 + 1))
+            texts[100 * n + k] = " ".join(["before", *("other" if j in wrong else x for j, x in enumerate(w)), "behind"])
+    want = plain_contaminated(texts, items)
+    assert 180 < len(want) < len(texts) and found_in(spark, texts, items) == want
+
+
 def test_quality_rules(docs, none):
     out = quality.quality_rules(docs)
     rows = out.collect()
