@@ -55,7 +55,7 @@ def _seed(number: int, mask: tuple[int, ...]) -> Column:
 
 
 def _segments(bench: DataFrame, item: str, text: str) -> DataFrame:
-    """``(sid, item, segment)``: stretches of the items, each stretch of tokens once.
+    """``(sid, item, segment)``: stretches of the items, ``sid`` alike for equal tokens.
 
     A segment has two windows' tokens and starts a window after the one before, so
     every window of an item lies in one of its segments.  Items of fewer than
@@ -65,7 +65,7 @@ def _segments(bench: DataFrame, item: str, text: str) -> DataFrame:
     items = items.where(F.size("t") >= SHORT_SPAN).groupBy("t").agg(F.min("item").alias("item"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("t") - WINDOW, F.lit(0)), F.lit(WINDOW))
     cut = items.select("item", F.explode(F.transform(starts, lambda s: F.slice("t", s + 1, F.lit(2 * WINDOW)))).alias("segment"))
-    return cut.groupBy("segment").agg(F.min("item").alias("item")).select(F.xxhash64("segment").alias("sid"), "item", "segment")
+    return cut.distinct().select(F.xxhash64("segment").alias("sid"), "item", "segment")
 
 
 def _seeds(df: DataFrame, keep: list[str], tokens: str) -> DataFrame:
@@ -95,11 +95,12 @@ def contaminated(
 
     ``hash`` is a hash of the text, so rows with equal keys stay apart; ``n_match``
     of ``n_window`` tokens agree in the best window of the item.  Of items with
-    equal tokens, and of items that share a segment, the least id is named.  Null and
+    equal tokens the least id is named; others that share a passage have a row each.  Null and
     empty texts match nothing; a null key is a key.  Empty tables give no rows.
     Positions of a window before or behind the text count as different.
     """
-    segments = materialize(_segments(bench, item, item_text))
+    owners = materialize(_segments(bench, item, item_text))
+    segments = owners.dropDuplicates(["sid"]).select("sid", "segment")
     seeds = materialize(_seeds(segments, ["sid"], "segment"))
     n_seeds = seeds.count()
 
@@ -115,11 +116,12 @@ def contaminated(
     raw = raw.join(side, raw["_d"].eqNullSafe(side["doc"]) & (raw["_h"] == side["hash"]), "left_semi").dropDuplicates(["_d", "_h"])
     tokens = raw.select("_d", "_h", token_hashes(F.col("_text")).alias("t"))
     laid = windows.join(tokens, windows["doc"].eqNullSafe(tokens["_d"]) & (windows["hash"] == tokens["_h"]))
-    laid = laid.select("doc", "hash", "item", F.least(F.size("segment"), F.lit(WINDOW)).alias("n_window"), _most_agreeing().alias("n_match"))
-    best = laid.groupBy("doc", "hash", "item").agg(
-        F.max(F.struct((F.col("n_match") / F.col("n_window")).alias("share"), "n_match", "n_window")).alias("best")
-    )
-    return best.where(F.col("best.share") >= AGREE).select(
+    laid = laid.select("doc", "hash", "sid", F.least(F.size("segment"), F.lit(WINDOW)).alias("n_window"), _most_agreeing().alias("n_match"))
+    laid = laid.withColumn("best", F.struct((F.col("n_match") / F.col("n_window")).alias("share"), "n_match", "n_window"))
+    best = laid.where(F.col("best.share") >= AGREE).groupBy("doc", "hash", "sid").agg(F.max("best").alias("best"))
+    # Equal segments are compared once; here each item that holds one gets its row.
+    best = best.join(checked_side(owners.select("sid", "item"), n_seeds, SEED_ROWS), "sid").groupBy("doc", "hash", "item").agg(F.max("best").alias("best"))
+    return best.select(
         "doc", "hash", "item", F.col("best.n_match").cast("long").alias("n_match"), F.col("best.n_window").cast("long").alias("n_window"), "best.share"
     )
 

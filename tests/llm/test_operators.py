@@ -366,6 +366,17 @@ def test_short_items_with_substitutions(spark):
     assert 180 < len(want) < len(texts) and found_in(spark, texts, items) == want
 
 
+def test_items_that_share_a_passage_have_a_row_each(spark):
+    draw = random.Random(6)
+    own = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    shared, long = own(24), own(60)
+    items = {1: f"{shared} {own(30)}", 2: f"{shared} {own(9)}", 3: f"{own(40)} {shared} {own(5)}", 4: f"{long} {own(20)}", 5: f"{long} {own(30)}", 6: own(50)}
+    texts = {10: f"before {shared} behind", 11: long, 12: own(80), 13: " ".join(long.split(" ")[:30])}
+    want = plain_contaminated(texts, items)
+    assert want == {(10, 1): (24, 24), (10, 2): (24, 24), (10, 3): (24, 24), (11, 4): (24, 24), (11, 5): (24, 24), (13, 4): (24, 24), (13, 5): (24, 24)}
+    assert found_in(spark, texts, items) == want
+
+
 def test_quality_rules(docs, none):
     out = quality.quality_rules(docs)
     rows = out.collect()
