@@ -3,8 +3,9 @@
 A text that repeats itself compresses far better than prose of its length, and
 random text far worse.  Longer prose compresses better, so both limits depend on
 the length; they are linear in its logarithm between the knots below.  A document
-fails when its whole ratio leaves the band, or when more than ``CHUNK_SHARE`` of
-its full chunks do.
+fails when its whole ratio leaves the band, when more than ``CHUNK_SHARE`` of its
+chunks do, or when more than ``NOISE_SHARE`` of its bytes lie in pieces that
+compress like noise.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ from sitecast.llm.text import chunks, mix, stream, utf8, word_hashes
 LEVEL = 3
 #: (bytes, ratio): a whole text of at least the first length is held to these.
 UPPER = ((300, 2.10), (1_000, 2.17), (2_000, 2.29), (4_000, 2.36), (8_000, 2.47), (16_000, 2.55), (32_000, 2.61), (64_000, 2.68), (200_000, 2.80))
-LOWER = ((300, 1.10), (1_000, 1.25), (4_000, 1.40), (16_000, 1.50))
+LOWER = ((150, 1.07), (200, 1.13), (300, 1.20), (400, 1.25), (600, 1.32), (1_000, 1.42), (2_000, 1.50), (4_000, 1.55), (8_000, 1.58), (16_000, 1.60))
 CHUNK = 4_096
-CHUNK_BAND = (1.40, 2.38)
-CHUNK_SHARE = 0.5
+CHUNK_BAND = (1.55, 2.38)
+CHUNK_SHARE = 0.1
+#: Pieces held to ``LOWER`` only; the last one takes the rest of the text.
+PIECE = 500
+NOISE_SHARE = 0.1
 #: Fixed values of the base rule.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -69,21 +73,37 @@ def repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def _within(part: bytes, ratio: float) -> bool:
+    """Whether the ratio of a chunk is in the band for its length."""
+    n = len(part)
+    if n == CHUNK:
+        return CHUNK_BAND[0] <= ratio <= CHUNK_BAND[1]
+    return limit(n, LOWER) <= ratio <= limit(n, UPPER)
+
+
 def bands(data: bytes, compressor) -> tuple[float, int, int, bool]:
-    """Whole ratio (0 for an empty text), full chunks, chunks outside their band, and the verdict."""
+    """Whole ratio (0 for an empty text), chunks with the last partial one, chunks outside their band, and the verdict.
+
+    A text of one chunk has none, and a rest of fewer bytes than ``UPPER`` starts at is none.
+    """
     n = len(data)
     if not n:
         return 0.0, 0, 0, False
-    ratio = n / len(compressor.compress(data))
-    good = n < UPPER[0][0] or limit(n, LOWER) <= ratio <= limit(n, UPPER)
-    full = n // CHUNK
-    bad = 0
-    if full > 1:
-        low, high = CHUNK_BAND
-        for k in range(full):
-            part = CHUNK / len(compressor.compress(data[k * CHUNK : (k + 1) * CHUNK]))
-            bad += not low <= part <= high
-    return ratio, full if full > 1 else 0, bad, good and bad <= CHUNK_SHARE * full
+
+    def ratio(part: bytes) -> float:
+        return len(part) / len(compressor.compress(part))
+
+    whole = ratio(data)
+    good = (n < LOWER[0][0] or limit(n, LOWER) <= whole) and (n < UPPER[0][0] or whole <= limit(n, UPPER))
+    parts = [p for k in range(0, n, CHUNK) if len(p := data[k : k + CHUNK]) >= UPPER[0][0]] if n > CHUNK else []
+    parts = parts if len(parts) > 1 else []
+    bad = sum(not _within(p, ratio(p)) for p in parts)
+    noise = 0
+    if n >= 2 * PIECE:
+        starts = range(0, n - PIECE + 1, PIECE)
+        pieces = [data[k : k + PIECE if k < starts[-1] else n] for k in starts]
+        noise = sum(len(p) for p in pieces if ratio(p) < limit(len(p), LOWER))
+    return whole, len(parts), bad, good and bad <= CHUNK_SHARE * len(parts) and noise <= NOISE_SHARE * n
 
 
 def _describe(column: pa.Array) -> Iterator[tuple]:

@@ -158,6 +158,24 @@ def test_compression_bands_tell_prose_from_repeats_and_noise():
     assert quality.bands(b"", z) == (0.0, 0, 0, False)
 
 
+def test_noise_of_any_length_leaves_the_band():
+    import string
+
+    import zstandard
+
+    draw = random.Random(8)
+    z = zstandard.ZstdCompressor(level=quality.LEVEL)
+    noise = lambda n: " ".join("".join(draw.choices(string.ascii_letters + string.digits, k=draw.randint(2, 9))) for _ in range(n))[:n].encode()
+    letters, weights = "etaoinshrdlucmfwypvbgk", range(22, 0, -1)
+    prose = " ".join("".join(draw.choices(letters, weights, k=draw.randint(1, 9))) for _ in range(7000)).encode()
+    for n in (200, 300, 400, 600, 1000, 1500, 2000, 3000, 4096, 5000, 9000):
+        assert not any(quality.bands(noise(n), z)[3] for _ in range(20)), n
+        assert quality.bands(prose[:n], z)[3], n
+    for n in (1000, 2000, 4000, 8191, 16384, 32768):
+        assert not quality.bands(prose[: n // 2] + noise(n - n // 2), z)[3], n
+        assert not quality.bands(noise(n - n // 2) + prose[: n // 2], z)[3], n
+
+
 def test_piece_encoder_equals_the_tokenizer(monkeypatch):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
