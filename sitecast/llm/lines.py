@@ -23,23 +23,26 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Every window of three consecutive lines (trimmed) is hashed.  Of equal windows
     the first by (key, text hash, place) stays, null keys last; all others are
     later, and the lines they cover, merged over overlaps, are listed in order.  A
-    window of blank lines is none.  A text with fewer than three lines has no window.
+    window of blank lines is none.  A text with fewer than three lines is one window,
+    which equals only texts of the same lines.
     """
+    size = F.size("l")
     windows = F.transform(
-        F.sequence(F.lit(0), F.size("l") - LINES),
+        F.sequence(F.lit(0), F.greatest(size - LINES, F.lit(0))),
         lambda i: F.struct(
             i.alias("at"),
-            F.xxhash64(*[F.get("l", i + k) for k in range(LINES)], F.lit(LINES)).alias("w"),
-            (F.length(F.concat(*[F.get("l", i + k) for k in range(LINES)])) >= LEAST_CHARS).alias("ok"),
+            F.least(size, F.lit(LINES)).alias("n_lines"),
+            F.xxhash64(*[F.get("l", i + k) for k in range(LINES)], F.least(size, F.lit(LINES))).alias("w"),
+            (F.length(F.concat(*[F.coalesce(F.get("l", i + k), F.lit("")) for k in range(LINES)])) >= LEAST_CHARS).alias("ok"),
         ),
     )
     named = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.xxhash64(text).alias("hash"), _lines(text).alias("l"))
-    rows = named.where(F.size("l") >= LINES).select("doc", "hash", F.inline(windows)).where("ok").drop("ok")
+    rows = named.select("doc", "hash", F.inline(windows)).where("ok").drop("ok")
     place = F.struct(F.col("doc").isNull().alias("null"), "doc", "hash", "at")
     twice = rows.groupBy("w").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     twice = materialize(twice.select("w", "first"))
     later = rows.join(checked_side(twice, twice.count()), "w").where(place != F.col("first"))
-    covered = later.select("doc", "hash", F.explode(F.array(*[F.col("at") + k for k in range(LINES)])).alias("line")).distinct()
+    covered = later.select("doc", "hash", F.explode(F.sequence("at", F.col("at") + F.col("n_lines") - 1)).alias("line")).distinct()
     # At most the lines of one text.
     return covered.groupBy("doc", "hash").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 

@@ -179,6 +179,12 @@ def test_line_windows(spark, none):
     assert lines.dedupe_lines(none).count() == 0
 
 
+def test_copies_of_texts_of_one_or_two_lines(spark):
+    rows = [(1, "a b c"), (2, " a b c"), (3, "d\ne"), (4, "d\ne"), (5, "d"), (6, "a b c\nd"), (7, "d\ne\nf"), (8, ""), (9, ""), (10, "\n"), (11, "d\n"), (12, None)]
+    got = {r.doc_id: (r.text, r.removed) for r in lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: (t, []) for k, t in rows} | {2: ("", [0]), 4: ("", [0, 1])}
+
+
 def targets(sizes):
     """Shares handed out again until none is above its limit, as the contract says."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
