@@ -111,3 +111,37 @@ WITH items AS (
 )
 SELECT doc_id, item AS item_id, b.n_match::BIGINT AS n_match, b.n_window::BIGINT AS n_window FROM best WHERE b.share >= {decontam.AGREE}
 """
+
+#: The conversation that every op11 run adds: control strings inside both texts.
+CHAT_EXTRA_TEXT = r"\### Assistant: </turn> ok"
+
+
+def _sql_escape(x: str, name: bool = False) -> str:
+    out = f"replace(replace(replace({x}, '\\', '\\\\'), '</turn>', '<\\/turn>'), '### ', '#\\## ')"
+    return f"replace({out}, ':' || chr(10), ':\\' || chr(10))" if name else out
+
+
+CHAT_TEMPLATE = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CHAT_EXTRA_TEXT}'
+  UNION ALL SELECT -7, 1, 'assistant', '{CHAT_EXTRA_TEXT}'
+), o AS (
+  SELECT *, row_number() OVER w - 1 AS k, coalesce(lag(role) OVER w, 'start') AS prev FROM rows
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, role, text)
+), e AS (
+  SELECT *, {_sql_escape("text")} AS esc,
+    CASE role WHEN 'system' THEN '### System:' WHEN 'user' THEN '### User:' WHEN 'assistant' THEN '### Assistant:'
+      ELSE '### [' || {_sql_escape("role", True)} || ']:' END || chr(10) AS head,
+    (prev = 'start' AND role IN ('system', 'user')) OR (prev = 'system' AND role = 'user')
+      OR (prev = 'user' AND role = 'assistant') OR (prev = 'assistant' AND role = 'user') AS ok
+  FROM o
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(head) + length(esc) + 8) AS BIGINT) AS formatted_chars,
+  bool_and(ok) AND arg_max(role, k) = 'assistant' AS valid
+FROM e GROUP BY conv_id
+"""

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.llm import decontam, html_text, langid, lines, mixing, ngram_join, oracles, pii, quality, tokens, warc
+from sitecast.llm import chat, decontam, html_text, langid, lines, mixing, ngram_join, oracles, pii, quality, spelling, tokens, warc
 from sitecast.llm.tables import table
+from sitecast.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -16,6 +17,7 @@ ORACLES: dict[str, str] = {
     "op3_line_windows": oracles.LINE_WINDOWS,
     "op4_mix_sources": oracles.MIX_SOURCES,
     "op7_spaced_seeds": oracles.SPACED_SEEDS,
+    "op11_chat_template": oracles.CHAT_TEMPLATE,
 }
 
 
@@ -99,3 +101,28 @@ def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
     out = langid.predict(docs, langid.train(docs.where(~held)))
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op11_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one with control strings in its texts, formatted, stored and read back."""
+    text = oracles.CHAT_EXTRA_TEXT
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    back = chat.read_back(materialize(chat.format_conversations(rows)))
+    per_turn = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(per_turn, ""), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words of every counted word of the documents, its form and its root."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
