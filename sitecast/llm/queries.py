@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.llm import chat, decontam, html_text, langid, lines, mixing, ngram_join, oracles, pii, quality, spelling, tokens, warc
+from sitecast.llm import chat, decontam, html_text, langid, lines, mixing, ngram_join, oracles, pii, prefix_trie, quality, spelling, tokens, warc
 from sitecast.llm.tables import table
 from sitecast.session import materialize
 
@@ -126,3 +126,9 @@ def op11_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words of every counted word of the documents, its form and its root."""
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.trie(prefix_trie.rebuild(table(spark, sf_dir, "conversations")))
