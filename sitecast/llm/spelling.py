@@ -8,14 +8,17 @@ with their count ``n``.
 
 Two words are near when one edit (insert, delete or replace one code point)
 turns one into the other.  Such words have letter-count vectors at squared
-distance 1 (lengths differ by one) or 2 (equal lengths).  Words are dealt into
-blocks by length and a hash of the word (at most about ``BLOCK`` words a
-block); every pair of blocks of equal or adjacent lengths meets in one task,
-which forms the count matrices, takes the Gram product ``A @ B.T`` with NumPy
-and reads squared distances as ``|a|^2 + |b|^2 - 2 a.b``.  Only pairs at the
-right distance are checked for one edit.  The work is every pair of equal or
-adjacent length, as the method says, but no pair is a row unless it is at
-distance at most two.
+distance 1 (lengths differ by one) or 2 (equal lengths), so they differ in at
+most two counts.  The letters are dealt into four groups; a near pair leaves
+two groups untouched, so for one of the six pairs of groups both words have
+the same sorted letters of those groups.  Words are blocked by that key (six
+keys a word), then by length, then by a hash into chunks of about ``BLOCK``
+words, so a hot key is split.  Every pair of chunks of one key and of equal or
+adjacent lengths meets in one task, which forms the count matrices, takes the
+Gram product ``A @ B.T`` with NumPy and reads squared distances as
+``|a|^2 + |b|^2 - 2 a.b``.  Only pairs at the right distance are checked for one
+edit; pairs found under several keys are kept once.  No pair is a row unless
+it is at distance at most two.
 
 A word's form is its near word of largest n (ties: least in code-point order)
 if that n is at least twice its own; its root follows forms to the end
@@ -28,6 +31,7 @@ runs; empty input gives an empty result.  Repeated rows count again.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +48,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOISE_MOD = 97
 MIN_LEN, MIN_COUNT = 5, 3
 #: Words a block holds, about; a task multiplies two blocks.
-BLOCK = 4096
+BLOCK = 1024
+#: Letter groups; a block key holds the letters of two of them.
+GROUPS = 4
+#: a-z by falling frequency in English prose, to spread letters evenly over the groups.
+FREQUENT = "etaoinsrhldcumfpgwybvkxjqz"
 #: Columns of a count vector: a-z, then U+00C0 to U+00FF.
 DIMS = 26 + 64
 
@@ -108,25 +116,45 @@ def _near_in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": out_a, "b": out_b}, dtype=object)
 
 
+def _group_letters() -> list[str]:
+    """The letters of each of ``GROUPS`` groups: a-z dealt by rank in ``FREQUENT``, then U+00C0 to U+00FF in turn."""
+    letters = list(FREQUENT) + [chr(c) for c in range(0xC0, 0x100)]
+    return ["".join(letters[g::GROUPS]) for g in range(GROUPS)]
+
+
+def block_keys(word) -> list:
+    """For each pair of groups: the word's letters in those groups, sorted.
+
+    Words one edit apart differ in at most two letter counts, so at least two
+    of the four groups are untouched and one pair of groups gives both the same key.
+    """
+    groups = _group_letters()
+    alphabet = "".join(groups)
+    out = []
+    for p, (g, h) in enumerate(itertools.combinations(range(GROUPS), 2)):
+        others = "".join(x for k, x in enumerate(groups) if k not in (g, h))
+        kept = F.translate(word, others, "")
+        out.append(F.struct(F.lit(p).alias("p"), F.array_join(F.array_sort(F.split(kept, "")), "").alias("key")))
+    assert len(alphabet) == DIMS
+    return out
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
-    """a, b: each unordered pair of near words once."""
-    words = words.select("word", F.char_length("word").alias("len"))
-    lengths = words.groupBy("len").agg(F.count(F.lit(1)).alias("c"))
-    lengths = materialize(lengths.select("len", F.ceil(F.col("c") / BLOCK).cast("int").alias("k")))
-    small = checked_side(lengths, lengths.count())
-    dealt = words.join(small, "len").select("word", "len", F.pmod(F.xxhash64("word"), F.col("k")).alias("blk"))
-    blocks = dealt.groupBy("len", "blk").agg(F.sort_array(F.collect_list("word")).alias("w"))
-    # Pairs of blocks: equal length with j >= i, and the next length with any j.
-    mine = lengths.select("len", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
-    nxt = lengths.select((F.col("len") - 1).alias("len"), F.col("k").alias("k2"))
-    same = mine.select("len", "i", F.col("len").alias("len2"), F.explode(F.sequence("i", F.col("k") - 1)).alias("j"))
-    up = mine.join(nxt, "len").select("len", "i", (F.col("len") + 1).alias("len2"), F.explode(F.sequence(F.lit(0), F.col("k2") - 1)).alias("j"))
-    pairs = same.unionByName(up)
-    a = blocks.select(F.col("len"), F.col("blk").alias("i"), F.col("w").alias("wa"))
-    b = blocks.select(F.col("len").alias("len2"), F.col("blk").alias("j"), F.col("w").alias("wb"))
-    met = pairs.join(a, ["len", "i"]).join(b, ["len2", "j"])
+    """a, b: each unordered pair of near words once (a < b)."""
+    keyed = words.select("word", F.char_length("word").alias("len"), F.explode(F.array(*block_keys(F.col("word")))).alias("k"))
+    keyed = keyed.select("word", "len", "k.p", "k.key")
+    sizes = keyed.groupBy("p", "key", "len").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nk"))
+    dealt = keyed.join(sizes, ["p", "key", "len"]).select("p", "key", "len", F.pmod(F.xxhash64("word"), F.col("nk")).alias("blk"), "word")
+    blocks = materialize(dealt.groupBy("p", "key", "len", "blk").agg(F.sort_array(F.collect_list("word")).alias("w")))
+    # Pairs of blocks of one key: equal length with j >= i, and the next length with any j.
+    a = blocks.select("p", "key", "len", F.col("blk").alias("i"), F.col("w").alias("wa"), F.explode(F.array("len", F.col("len") + 1)).alias("len2"))
+    b = blocks.select("p", "key", F.col("len").alias("len2"), F.col("blk").alias("j"), F.col("w").alias("wb"))
+    met = a.join(b, ["p", "key", "len2"]).where((F.col("len2") > F.col("len")) | (F.col("j") >= F.col("i")))
     met = met.select("wa", "wb", ((F.col("len") == F.col("len2")) & (F.col("i") == F.col("j"))).alias("same"))
-    return met.mapInPandas(_near_in_blocks, "a string, b string")
+    # A block of one word holds no pair with itself.
+    met = met.where(~F.col("same") | (F.size("wa") > 1))
+    found = met.mapInPandas(_near_in_blocks, "a string, b string")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:
