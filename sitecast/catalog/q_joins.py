@@ -97,6 +97,23 @@ def _(spark, d):
     return rounded(J.nearest(base, {"x1": 3.0, "d": 4.0}, 20, "node"), 6)
 
 
+@query(
+    "knn_join_table",
+    "SELECT query, node, round(sqrt(d2), 6) AS distance, CAST(rank AS INT) AS rank FROM ("
+    " SELECT q.node AS query, b.node, (b.x1 - q.x1) * (b.x1 - q.x1) + (b.d - q.d) * (b.d - q.d) AS d2,"
+    " row_number() OVER (PARTITION BY q.node ORDER BY (b.x1 - q.x1) * (b.x1 - q.x1) + (b.d - q.d) * (b.d - q.d), b.node) AS rank"
+    " FROM base q, base b WHERE q.node % 50 = 0 AND q.x1 IS NOT NULL AND b.x1 IS NOT NULL) t WHERE rank <= 5",
+    base=NEAR_NODES,
+)
+def _(spark, d):
+    """Five nearest nodes of every node whose id is divisible by 50, among all nodes."""
+    base = view(spark, d, "v_nodes").select(
+        "node", F.when(F.col("node") % 10 != 3, F.col("x1")).alias("x1"), (F.col("distance") / F.lit(1e3)).alias("d")
+    )
+    queries = base.where(F.col("node") % 50 == 0).withColumnRenamed("node", "query")
+    return rounded(J.knn_join(queries, base, ["x1", "d"], 5, "query", "node"), 6)
+
+
 @query(
     "semi_filter",
     "SELECT booking_id, node FROM v_bookings WHERE node IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",

@@ -241,3 +241,92 @@ def join_calendar(
     days = holidays.groupBy(F.col("date").alias(date_col)).agg(F.bool_or("is_holiday").alias("is_holiday"))
     out = df.join(weather.withColumnRenamed("date", date_col), date_col, "left").join(days, date_col, "left")
     return out.withColumn("is_holiday", F.coalesce("is_holiday", F.lit(False)))
+
+
+def _widen(steps: Column):
+    """For a partial cell: one cell per value of ``steps`` in the next dimension."""
+    return lambda o: F.transform(steps, lambda s: F.concat(o, F.array(s)))
+
+
+def knn_join(
+    queries: DataFrame,
+    base: DataFrame,
+    features: Sequence[str],
+    k: int,
+    query_key: str = "query_id",
+    base_key: str = "base_id",
+    per_cell: int = 32,
+) -> DataFrame:
+    """The ``k`` base rows nearest to every query row: ``(query_key, base_key, distance, rank)``.
+
+    Exact, by Euclidean distance over ``features``, ties by ``base_key``.  Base
+    rows are dealt into grid cells whose side is set so that a cell holds about
+    ``per_cell`` rows on average.  Each query looks at the block of cells within
+    ``r`` of its own, clipped to the base cells, starting with the least r that
+    reaches a base cell and going on to 2r + 1: it is done once it has k rows no
+    farther than the distance from the query to the block's nearest outer face
+    (nothing outside can be nearer), or when the block covers every base cell.
+    Queries not done widen their block in the next round; each round is stored.
+    Cell keys that would pair too many rows in one task are split.
+
+    A row lacking a feature (NULL or NaN) takes no part: such a base row is never
+    a neighbour, such a query gets no rows.  With fewer than k base rows a query
+    gets them all.  Equal query keys are one query each row; key columns must not
+    share names with the features.
+    """
+    if k < 1 or not features:
+        raise ValueError("need k >= 1 and at least one feature")
+    names = list(features)
+    good = lambda df: reduce(lambda a, b: a & b, [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in names])
+    b = base.where(good(base)).select(F.col(base_key).alias("_b"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(names)])
+    q = queries.where(good(queries)).select(F.col(query_key).alias("_q"), *[F.col(f).cast("double").alias(f"_y{i}") for i, f in enumerate(names)])
+    q = q.withColumn("_qi", F.monotonically_increasing_id())
+    q = materialize(q)
+    d = len(names)
+    box = b.agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_x{i}").alias(f"lo{i}") for i in range(d)], *[F.max(f"_x{i}").alias(f"hi{i}") for i in range(d)]).first()
+    if box["n"] == 0:
+        return queries.sparkSession.createDataFrame([], f"{query_key} {q.schema['_q'].dataType.simpleString()}, {base_key} {b.schema['_b'].dataType.simpleString()}, distance double, rank int")
+    spans = [max(box[f"hi{i}"] - box[f"lo{i}"], 0.0) for i in range(d)]
+    volume = math.prod(s for s in spans if s > 0) if any(s > 0 for s in spans) else 1.0
+    dims = max(sum(1 for s in spans if s > 0), 1)
+    # All base rows in one place: one cell of unit side.
+    side = (volume * per_cell / box["n"]) ** (1.0 / dims) if max(spans) > 0 else 1.0
+    side = max(side, max(spans) / 1e6)
+    cell = lambda c, i: F.floor((F.col(c) - F.lit(box[f"lo{i}"])) / F.lit(side)).cast("long")
+    far = [int(math.floor(spans[i] / side)) for i in range(d)]
+    bc = materialize(b.select("_b", *[f"_x{i}" for i in range(d)], F.array(*[cell(f"_x{i}", i) for i in range(d)]).alias("_cell")))
+    pending = q.select("*", F.array(*[cell(f"_y{i}", i) for i in range(d)]).alias("_home"))
+    # A query starts at the ring that reaches the nearest base cell, and its block is clipped to the base cells.
+    reach = [F.greatest(-F.col("_home")[i], F.col("_home")[i] - F.lit(far[i]), F.lit(0)) for i in range(d)]
+    pending = pending.withColumn("_r", F.greatest(*reach, F.lit(0)) if d > 1 else F.greatest(reach[0], F.lit(0)))
+    found = []
+    while True:
+        cells = F.array(F.array().cast("array<long>"))
+        for i in range(d):
+            cells = F.flatten(F.transform(cells, _widen(F.sequence(F.greatest(F.col("_home")[i] - F.col("_r"), F.lit(0)), F.least(F.col("_home")[i] + F.col("_r"), F.lit(far[i]))))))
+        ask = pending.select("_qi", F.explode(cells).alias("_cell"))
+        pairs = split_hot_join(ask, bc, ["_cell"])
+        dist = F.sqrt(reduce(lambda a, c: a + c, [(F.col(f"_x{i}") - F.col(f"_y{i}")) ** 2 for i in range(d)]))
+        met = pairs.join(pending.select("_qi", *[f"_y{i}" for i in range(d)]), "_qi").select("_qi", "_b", dist.alias("distance"))
+        top = met.withColumn("rank", F.row_number().over(Window.partitionBy("_qi").orderBy("distance", "_b"))).where(F.col("rank") <= k)
+        # Distance from the query to the nearest outer face of its block, and whether the block covers all cells.
+        faces = [
+            F.least(
+                F.col(f"_y{i}") - (F.lit(box[f"lo{i}"]) + (F.col("_home")[i] - F.col("_r")) * side),
+                F.lit(box[f"lo{i}"]) + (F.col("_home")[i] + F.col("_r") + 1) * side - F.col(f"_y{i}"),
+            )
+            for i in range(d)
+        ]
+        covers = reduce(lambda a, c: a & c, [(F.col("_home")[i] - F.col("_r") <= 0) & (F.col("_home")[i] + F.col("_r") >= far[i]) for i in range(d)])
+        state = pending.select("_qi", (F.least(*faces) if d > 1 else faces[0]).alias("_safe"), covers.alias("_all"))
+        kth = top.groupBy("_qi").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_kth"))
+        done = F.col("_all") | F.coalesce((F.col("_n") >= k) & (F.col("_kth") <= F.col("_safe")), F.lit(False))
+        state = materialize(state.join(kth, "_qi", "left").select("_qi", done.alias("_done")))
+        found.append(materialize(top.join(state.where("_done"), "_qi", "left_semi")))
+        pending = materialize(pending.join(state.where(~F.col("_done")), "_qi", "left_semi").withColumn("_r", 2 * F.col("_r") + 1))
+        if pending.isEmpty():
+            break
+    out = reduce(lambda a, c: a.unionByName(c), found)
+    return out.join(q.select("_qi", "_q"), "_qi").select(
+        F.col("_q").alias(query_key), F.col("_b").alias(base_key), "distance", F.col("rank").cast("int").alias("rank")
+    )
