@@ -28,15 +28,18 @@ SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id FROM sets s JO
 LINE_WINDOWS = """
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS raw, [trim(x) for x in string_split(text, chr(10))] AS l FROM documents),
 w AS (
-  SELECT doc_id, k AS place, l[k + 1] || chr(1) || l[k + 2] || chr(1) || l[k + 3] AS key
-  FROM l, unnest(range(0, len(l) - 2)) AS u(k) WHERE text IS NOT NULL AND length(l[k + 1] || l[k + 2] || l[k + 3]) > 0
-), later AS (SELECT doc_id, place FROM w QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1
-), gone AS (SELECT DISTINCT doc_id, place + k AS line FROM later, unnest([0, 1, 2]) AS u(k)
+  SELECT doc_id, k AS place, least(len(l), 3) AS n,
+    CASE WHEN len(l) < 3 THEN len(l) || chr(2) ELSE '' END
+      || l[k + 1] || chr(1) || coalesce(l[k + 2], '') || chr(1) || coalesce(l[k + 3], '') AS key
+  FROM l, unnest(range(0, greatest(len(l) - 2, 1))) AS u(k)
+  WHERE text IS NOT NULL AND length(l[k + 1] || coalesce(l[k + 2], '') || coalesce(l[k + 3], '')) > 0
+), later AS (SELECT doc_id, place, n FROM w QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1
+), gone AS (SELECT DISTINCT doc_id, place + k AS line FROM later, unnest(range(0, n)) AS u(k)
 ), lists AS (SELECT doc_id, list(line ORDER BY line) AS gone FROM gone GROUP BY doc_id)
 SELECT l.doc_id, coalesce(len(raw), 0) AS n_lines, coalesce(len(gone), 0) AS n_removed,
   coalesce(array_to_string(gone, ','), '') AS removed,
   sha256(CASE WHEN gone IS NULL THEN text
-    ELSE array_to_string([l.l[k + 1] for k in range(0, len(l.l)) if NOT list_contains(gone, k)], chr(10)) END) AS text_sha256
+    ELSE array_to_string([l.raw[k + 1] for k in range(0, len(l.raw)) if NOT list_contains(gone, k)], chr(10)) END) AS text_sha256
 FROM l LEFT JOIN lists USING (doc_id)
 """
 

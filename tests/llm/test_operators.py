@@ -161,19 +161,20 @@ def test_line_windows(spark, none):
     rows = [
         (1, "a\nb\nc\nd"), (2, "x\na\nb\nc"), (3, "a\n b \nc\nd\na\nb\nc"), (4, "q\nq\nq\nq"), (5, None), (6, ""), (7, "a\nb"),
         (8, "\n\n\n\n"), (None, "a\nb\nc"), (9, "k\nl\nm"), (9, "k\nl\nm"), (10, "k\nl\nm\n"),
+        (11, "  keep  \na\nb\nc\n tail "), (12, "a\nb"), (13, " a \n b"), (14, "one line"), (15, " one line "), (16, "a"),
     ]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lines", F.lit(3))
     first, gone = {}, defaultdict(set)
     for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
         ls = [x.strip(" ") for x in (t or "").split("\n")]
-        for k in range(len(ls) - 2):
-            key = tuple(ls[k : k + 3])
-            if "".join(key) and first.setdefault(key, (i, k)) != (i, k):
-                gone[i, t] |= {k, k + 1, k + 2}
+        # A text of one or two lines is one window, equal only to texts of the same lines.
+        for k, key in [(k, tuple(ls[k : k + 3])) for k in range(len(ls) - 2)] or [(0, (len(ls), *ls))]:
+            if "".join(map(str, key[1:] if len(ls) < 3 else key)) and first.setdefault(key, (i, k)) != (i, k):
+                gone[i, t] |= set(range(k, k + min(3, len(ls))))
     want = []
     for i, t in rows:
         out = [] if t is None else t.split("\n")
-        left = t if not gone[i, t] else "\n".join(x.strip(" ") for k, x in enumerate(out) if k not in gone[i, t])
+        left = t if not gone[i, t] else "\n".join(x for k, x in enumerate(out) if k not in gone[i, t])
         want.append((i, left, len(out), len(gone[i, t]), sorted(gone[i, t])))
     assert sorted(map(tuple, lines.dedupe_lines(table).collect()), key=repr) == sorted(want, key=repr)
     assert lines.dedupe_lines(none).count() == 0
