@@ -48,7 +48,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOISE_MOD = 97
 MIN_LEN, MIN_COUNT = 5, 3
 #: Words a block holds, about; a task multiplies two blocks.
-BLOCK = 1024
+BLOCK = 256
 #: Letter groups; a block key holds the letters of two of them.
 GROUPS = 4
 #: a-z by falling frequency in English prose, to spread letters evenly over the groups.
