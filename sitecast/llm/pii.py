@@ -411,10 +411,11 @@ def listed(spans: list[Span]) -> str:
 
 
 def find_personal_data(docs: DataFrame, tagger: Tagger | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_base)`` of each row.
+    """``(key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_base, base_spans)`` of each row.
 
-    Counts are of all spans; ``base_sha256`` is of the base ones.  A null text is
-    empty and has none.  Repeated rows give equal results; an empty table none.
+    Counts are of all spans; ``base_sha256`` is of the base ones, which
+    ``base_spans`` lists.  A null text is empty and has none.  Repeated rows give
+    equal results; an empty table none.
     """
     kind = dict(docs.dtypes)[key]
 
@@ -422,14 +423,20 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, key: str = "doc_i
         for batch in batches:
             found = find_spans([v.as_py() or "" for v in batch.column(1)], tagger)
             counts = [[sum(s[0] == k for s in spans) for _, spans in found] for k in range(len(KINDS))]
-            sums = [hashlib.sha256(listed(base).encode()).hexdigest() for base, _ in found]
+            plain = [listed(base) for base, _ in found]
+            sums = [hashlib.sha256(b.encode()).hexdigest() for b in plain]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), *[pa.array(c, pa.int64()) for c in counts], pa.array(sums, pa.string()),
-                    pa.array([listed(s) for _, s in found], pa.string()), pa.array([len(b) for b, _ in found], pa.int64()),
+                    pa.array([listed(s) for _, s in found], pa.string()), pa.array([len(b) for b, _ in found], pa.int64()), pa.array(plain, pa.string()),
                 ],
-                names=[key, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_base"],
+                names=[key, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_base", "base_spans"],
             )
 
-    schema = f"`{key}` {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_base long"
+    schema = f"`{key}` {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_base long, base_spans string"
     return docs.select(key, text).mapInArrow(run, schema)
+
+
+def base_counts(found: DataFrame) -> DataFrame:
+    """``find_personal_data`` with the counts of the base spans, which do not depend on what the network learned."""
+    return found.withColumns({f"n_{kind}": F.regexp_count("base_spans", F.lit(f"{kind}:")).cast("long") for kind in KINDS})

@@ -1,16 +1,18 @@
 """Operators on small tables with awkward rows, against brute force."""
 
+import hashlib
 import itertools
 import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from test_units import plain_spans, shingles, words
 
-from sitecast.llm import components, decontam, html_text, langid, lines, mixing, ngram_join, pii, quality, tokens, warc
+from sitecast.llm import components, decontam, html_text, langid, lines, mixing, ngram_join, pii, quality, queries, tokens, warc
 from sitecast.llm.pii import listed
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, kept boolean, node long, hash long, _key string, h0 long"
@@ -157,6 +159,27 @@ def test_personal_data(docs, none):
     assert pii.find_personal_data(none, None).count() == 0
 
 
+def test_personal_data_counts_of_the_query_are_of_base_spans(spark, tmp_path, monkeypatch):
+    """Phone and card side by side are lost to the patterns; the network's spans must not enter the counts."""
+
+    class Tags:
+        def decode(self, codes):
+            tags = np.zeros(codes.shape, np.int8)
+            tags[:, 0], tags[:, 1:17], tags[:, 18], tags[:, 19:37] = 7, 8, 5, 6  # a phone, then a card
+            return tags
+
+    monkeypatch.setattr(queries.pii, "train_tagger", lambda docs: Tags())
+    lost = "+1 (555) 123-4567 4111 1111 1111 1111 end"
+    rows = [(1, lost), (1, lost), (2, "to a.b@c.de"), (3, "4111 1111 1111 1111"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op1_pii_bilstm_crf(spark, str(tmp_path)).collect()
+    assert len(got) == 5 and [r.spans for r in got if r.doc_id == 1] == ["card:18:37,phone:0:17"] * 2
+    for r in got:
+        base = plain_spans(dict(rows)[r.doc_id] or "")
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in base) for k in range(4))
+        assert r.base_sha256 == hashlib.sha256(listed(base).encode()).hexdigest()
+
+
 def test_line_windows(spark, none):
     rows = [
         (1, "a\nb\nc\nd"), (2, "x\na\nb\nc"), (3, "a\n b \nc\nd\na\nb\nc"), (4, "q\nq\nq\nq"), (5, None), (6, ""), (7, "a\nb"),
