@@ -12,7 +12,7 @@ from sitecast.functions.locations import poi_density, transport_score
 from sitecast.operators import cleaning as C
 from sitecast.operators import summary as A
 from sitecast.operators.columns import columns_by_kind, columns_matching, drop_null_rows, overwrite_where, require
-from sitecast.operators.joins import group_mean_join_back, join_location_sources
+from sitecast.operators.joins import group_mean_join_back, join_location_sources, spread_left_joins, spread_rows
 from sitecast.operators.ranking import rank_min, top_ranked
 from sitecast.sources.tables import read_table, sample_n
 
@@ -191,3 +191,25 @@ def test_sample_is_repeatable(spark):
     a = [r[0] for r in sample_n(df, 20, "k").collect()]
     b = [r[0] for r in sample_n(df.repartition(7), 20, "k").collect()]
     assert a == b and len(a) == 20
+
+
+def test_spread_left_joins_give_every_combination_in_bounded_tasks(spark):
+    """Repeated, null, missing and equal rows: the same rows as plain left joins, and no task with most of them."""
+    left = spark.createDataFrame([("hot", i % 7) for i in range(30)] + [("one", 1), ("lone", 2)] + [(None, 3)] * 40, "k string, a int")
+    x = spark.createDataFrame([("hot", i) for i in range(20)] + [("one", 5), (None, 6)], "k string, x int")
+    y = spark.createDataFrame([("hot", float(i % 3)) for i in range(10)] + [(None, 1.0), ("other", 2.0)], "k string, y double")
+    plain = left.join(x, "k", "left").join(y, "k", "left")
+    for limit in (100, 1_000, 10**6):
+        out = spread_left_joins(left, [x, y], "k", limit)
+        assert out.columns == plain.columns
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    sizes = spread_left_joins(left, [x, y], "k", 300).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 0.5 * plain.count()
+    assert spread_left_joins(left.filter("false"), [x, y], "k", 1).count() == 0
+
+
+def test_spread_rows_keeps_the_rows(spark):
+    df = spark.range(1000).coalesce(1)
+    out = spread_rows(df, 100)
+    assert out.rdd.getNumPartitions() == 10 and sorted(r.id for r in out.collect()) == list(range(1000))
+    assert spread_rows(df, 1000).rdd.getNumPartitions() == 1
