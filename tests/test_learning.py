@@ -154,3 +154,25 @@ def test_similar_hotels_need_all_features(spark):
     assert {r["hotel"] for r in near} == {"A", "C"}
     with pytest.raises(ValueError, match="lacks"):
         similar_hotels(df, "N", {}, [F.col("id")], ["poi_park_count", "hotel"])
+
+
+def test_fits_spread_rows_that_lie_in_one_partition(spark, monkeypatch):
+    """A tree fit holds far more of a row than its stored bytes: its rows are spread by their number."""
+    from sitecast.learning import regression as R
+    from sitecast.operators.joins import spread_rows
+
+    seen = []
+
+    def small(df):
+        out = spread_rows(df, 40)
+        seen.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(R, "spread_rows", small)
+    df = spark.range(200).selectExpr("id AS k", "CAST(id % 17 AS DOUBLE) AS a", "id % 5 AS b", "3e0 * (id % 17) + id % 5 AS y").coalesce(1)
+    params = {"n_estimators": 3, "max_depth": 4}
+    model = R.fit_location_model(df, ["a", "b"], "y", "randomforest", params)
+    assert seen == [5] and model.metrics["r2"] > 0.8
+    assert R.location_factors(model, df, key="k").count() == 400 and seen == [5, 5]
+    assert R.cross_validate(df, ["a", "b"], "y", "k", "randomforest", params, 3).count() == 9
+    assert min(seen) > 1
