@@ -11,13 +11,13 @@ inside it and ``start`` the ids before it inside the part; the sizes of the part
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,30 +25,56 @@ from pyspark.sql import functions as F
 from sitecast.llm.text import chunks, utf8
 from sitecast.session import shared_dir
 
-#: Pieces longer than this are encoded but not remembered.
+#: Pieces of more bytes than this are encoded but not remembered.
 PIECE = 64
 #: Remembered pieces of a worker; beyond that it keeps only the frequent ones.
-PIECES = 400_000
+PIECES = 1_000_000
 #: Uses after which a piece is kept when the memory is cleared.
 OFTEN = 3
 #: Pieces handed to the tokenizer at once, and bytes of text taken apart at once.
 PIECES_AT_ONCE = 2_000
-BATCH_BYTES = 1 << 18
-#: A single space between two characters that are no white space: the tokenizer
-#: always starts a piece there, so the texts on both sides are encoded alone.
-_JOINT = re.compile(r"(?<=\S) (?=\S)")
-#: All characters that count as white space.
-_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
-
-
-def pieces_of(text: str) -> list[str]:
-    """``text`` cut at its joints, without their spaces."""
-    edges = text[:1] == " " or text[-1:] == " "
-    for space in _SPACES[:10] if text.isascii() else _SPACES:
-        if edges:
-            break
-        edges = space in text and (space + " " in text or " " + space in text)
-    return _JOINT.split(text) if edges else text.split(" ")
+BATCH_BYTES = 1 << 22
+#: Code points of three bytes that count as white space.
+_WIDE_SPACES = np.array([c for c in range(0x800, 0x10000) if chr(c).isspace()], np.int32)
+
+
+def _solid(data: np.ndarray, at: np.ndarray, before: bool) -> np.ndarray:
+    """Whether the characters that end at the bytes ``at`` (``before``) or start there are no white space."""
+    byte = data[at]
+    out = (byte > 32) | (byte < 9) | ((byte > 13) & (byte < 28))
+    wide = np.flatnonzero(byte >= 128)
+    # All white space beyond ASCII has two bytes (C2 85, C2 A0) or three.
+    first = at[wide] - 2 * before
+    a, b, c = (data[np.clip(first + k, 0, len(data) - 1)].astype(np.int32) for k in range(3))
+    code = ((a & 15) << 12) | ((b & 63) << 6) | (c & 63)
+    three = (a >> 4 == 14) & np.isin(code, _WIDE_SPACES)
+    lead, tail = (b, c) if before else (a, b)
+    two = (lead == 0xC2) & ((tail == 0x85) | (tail == 0xA0))
+    out[wide] = ~(three | two)
+    return out
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces start in UTF-8 texts that lie one after another.
+
+    A piece starts where a text does, at a single space or line end between two
+    characters that are no white space, and at a full stop or comma after an ASCII
+    letter.  The tokenizer always starts a token there and looks at nothing before,
+    so the pieces of a text are encoded alone.
+    """
+    first = np.zeros(len(data), bool)
+    if len(data) > 2:
+        blank = (data == 32) | (data == 10)
+        at = np.flatnonzero(blank[1:-1]) + 1
+        at = at[_solid(data, at - 1, True) & _solid(data, at + 1, False)]
+        first[at] = True
+        # A blank at either end of a text has no neighbour there.
+        ends = offsets[(offsets > 0) & (offsets < len(data))]
+        first[ends - 1] = False
+        letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+        first[1:] |= letter[:-1] & ((data[1:] == 46) | (data[1:] == 44))
+    first[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return np.flatnonzero(first)
 
 
 class PieceEncoder:
@@ -57,119 +83,90 @@ class PieceEncoder:
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self.spaced[[n for token, n in vocabulary.items() if token[:1] == "\u0120"]] = True  # byte-level BPE writes a space so
-        self._reset()
-
-    def _reset(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 12, np.int64)
-        self.uses = np.zeros(1 << 12, np.int32)
-        self.used = self.count = 0
+        self.heads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.heads[[n for token, n in vocabulary.items() if token[:1] == "\u0120"]] = True  # byte-level BPE writes a space so
+        self.heads[tokenizer.encode("\n", add_special_tokens=False).ids] = True
+        self.pieces = pa.array([], pa.string())
+        self.ids = pa.array([], pa.list_(pa.int32()))
+        self.uses = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
         """Keep the pieces that came often since the last time."""
-        old, flat, ends, uses = self.numbers, self.flat, self.ends, self.uses
-        self._reset()
-        keep = [(piece, n) for piece, n in old.items() if uses[n] >= OFTEN]
-        sizes = np.array([ends[n + 1] - ends[n] for _, n in keep], np.int64)
-        ids = [flat[ends[n] : ends[n + 1]] for _, n in keep]
-        if keep and len(keep) <= PIECES // 2:
-            self._put([piece for piece, _ in keep], np.concatenate(ids), sizes)
-
-    def _put(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.count + len(pieces) >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.ends[self.count + 1 : self.count + 1 + len(pieces)] = self.used + np.cumsum(sizes)
-        self.numbers.update(zip(pieces, range(self.count, self.count + len(pieces)), strict=True))
-        self.used += len(ids)
-        self.count += len(pieces)
-
-    def _add(self, pieces: list[str]) -> None:
-        """Encode pieces; those that start at a joint go through the tokenizer as one text.
-
-        Such a piece has no other space, so its first token, and no other, starts with one.
+        keep = self.uses >= OFTEN
+        keep &= keep.sum() <= PIECES // 2
+        self.pieces, self.ids = self.pieces.filter(pa.array(keep)), self.ids.filter(pa.array(keep))
+        self.uses = np.zeros(len(self.pieces), np.int64)
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and the number of ids of each.
+
+        Pieces with white space nowhere but at their start go through the tokenizer as
+        one text.  Those that start with none follow a line end, whose id is taken out
+        again.  So the first token of each, and no other, starts with a space or is a
+        line end.
         """
-        joined = [x for x in pieces if x[:1] == " " and " " not in x[1:]]
-        for first in range(0, len(joined), PIECES_AT_ONCE):
-            some = joined[first : first + PIECES_AT_ONCE]
-            (got,) = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+        alone, joined, at, bare = [], [], [], []
+        for k, piece in enumerate(pieces):
+            words = piece.split()
+            lead = piece[0] in " \n"
+            if len(words) == 1 and len(words[0]) + lead == len(piece):
+                joined.append(piece if lead else "\n" + piece)
+                at.append(k)
+                bare.append(not lead)
+            else:
+                alone.append(k)
+        sizes, parts = np.zeros(len(pieces), np.int64), []
+        for a in range(0, len(joined), PIECES_AT_ONCE):
+            (got,) = self.tokenizer.encode_batch_fast(["".join(joined[a : a + PIECES_AT_ONCE])], add_special_tokens=False)
             ids = np.array(got.ids, np.int32)
-            starts = np.flatnonzero(self.spaced[ids])
-            assert len(starts) == len(some)
-            self._put(some, ids, np.diff(starts, append=len(ids)))
-        for piece in pieces:
-            if piece[:1] != " " or " " in piece[1:]:
-                text = piece[1:] if piece[:1] == "\0" else piece
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-                self._put([piece], ids, np.array([len(ids)]))
-
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by ``end``, and the number of ids of each."""
-        if self.count > PIECES or self.used > 8 * PIECES:
-            self._forget()
-        pieces, counts = [], []  # the first piece of a text is marked by a leading NUL
-        for text in texts:
-            parts = pieces_of(text)
-            pieces.append("\0" + parts[0])
-            pieces.extend([" " + x for x in parts[1:]])
-            counts.append(len(parts))
-        known = self.numbers
-        new = [x for x in dict.fromkeys(pieces) if x not in known]
-        self._add(new)
-        numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-        self.uses[: self.count] += np.bincount(numbers, minlength=self.count).astype(np.int32)
-        starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
-        sums = np.cumsum(sizes)
-        at = np.arange(sums[-1] if len(sums) else 0) - np.repeat(sums - sizes, sizes) + np.repeat(starts, sizes)
-        of_text = np.add.reduceat(sizes, np.cumsum([0] + counts[:-1])) if texts else np.zeros(0, np.int64)
-        ids = np.insert(self.flat[at], np.cumsum(of_text), end) if texts else np.zeros(0, np.int32)
-        for x in new:
-            if len(x) > PIECE:
-                del known[x]
-        return ids.astype(np.int32), of_text + 1
-
-
-def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+            starts = np.flatnonzero(self.heads[ids])
+            drop = np.array(bare[a : a + PIECES_AT_ONCE])
+            assert len(starts) == len(drop)
+            sizes[at[a : a + PIECES_AT_ONCE]] = np.diff(starts, append=len(ids)) - drop
+            parts.append(np.delete(ids, starts[drop]))
+        for k in alone:
+            ids = np.array(self.tokenizer.encode(pieces[k], add_special_tokens=False).ids, np.int32)
+            sizes[k] = len(ids)
+            parts.append(ids)
+        # Parts hold the joined pieces, then the others: back in the given order.
+        order = np.array(at + alone, np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes[order])])
+        laid = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
+        return laid.take(pa.array(np.argsort(order))).flatten().to_numpy(), sizes
+
+    def _add(self, pieces: pa.Array) -> None:
+        ids, sizes = self._encoded(pieces.to_numpy(zero_copy_only=False).tolist())
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.ids = pa.concat_arrays([self.ids, pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32()))])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
+
+    def encode(self, texts: pa.Array | list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of ids of each."""
-        if self.count > PIECES or self.used > 8 * PIECES:
+        if len(self.pieces) > PIECES or len(self.ids.values) > 8 * PIECES:
             self._forget()
-        pieces, counts = [], []  # the first piece of a text is marked by a leading NUL
-        for text in texts:
-            parts = pieces_of(text)
-            pieces.append("\0" + parts[0])
-            pieces.extend([" " + x for x in parts[1:]])
-            counts.append(len(parts))
-        known = self.numbers
-        new = [x for x in dict.fromkeys(pieces) if x not in known]
-        self._add(new)
-        numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-        self.uses[: self.count] += np.bincount(numbers, minlength=self.count).astype(np.int32)
-        starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
-        sums = np.cumsum(sizes)
-        at = np.arange(sums[-1] if len(sums) else 0) - np.repeat(sums - sizes, sizes) + np.repeat(starts, sizes)
-        of_text = np.add.reduceat(sizes, np.cumsum([0] + counts[:-1])) if texts else np.zeros(0, np.int64)
-        ids = np.insert(self.flat[at], np.cumsum(of_text), end) if texts else np.zeros(0, np.int32)
-        for x in new:
-            if len(x) > PIECE:
-                del known[x]
-        return ids.astype(np.int32), of_text + 1
-
-
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= BATCH_CHARS:
-            yield first, k + 1
-            first, size = k + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+        data, offsets = utf8(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        starts = piece_starts(data, offsets)
+        if not len(starts):
+            return np.full(len(offsets) - 1, end, np.int32), np.ones(len(offsets) - 1, np.int64)
+        edges = np.append(starts, len(data)).astype(np.int32)
+        cut = pa.StringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(data)).dictionary_encode()
+        known = pc.index_in(cut.dictionary, value_set=self.pieces)
+        new, count = known.is_null(), len(self.pieces)
+        places = known.fill_null(0).to_numpy().astype(np.int64)
+        places[new.to_numpy(zero_copy_only=False)] = np.arange(count, count + known.null_count)
+        if known.null_count:
+            self._add(cut.dictionary.filter(new))
+        numbers = places[cut.indices.to_numpy()]
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+        rows = self.ids.take(pa.array(numbers))
+        sums = np.concatenate([[0], np.cumsum(rows.value_lengths().to_numpy())])
+        last = sums[np.searchsorted(starts, offsets[1:])]
+        keep = pc.less_equal(pc.binary_length(self.pieces), PIECE)
+        if not pc.all(keep).as_py():
+            self.pieces, self.ids = self.pieces.filter(keep), self.ids.filter(keep)
+            self.uses = self.uses[keep.to_numpy(zero_copy_only=False)]
+        return np.insert(rows.flatten().to_numpy(), last, end), np.diff(last, prepend=0) + 1
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -198,7 +195,7 @@ def encode(docs: DataFrame, tokenizer: str, end: int = 0, key: str = "doc_id", t
         part, place, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for a, b in chunks(utf8(batch.column(1))[1], BATCH_BYTES):
-                ids, counts = encoder.encode([x or "" for x in batch.column(1).slice(a, b - a).to_pylist()], end)
+                ids, counts = encoder.encode(batch.column(1).slice(a, b - a), end)
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 n = b - a
                 yield pa.RecordBatch.from_arrays(

@@ -195,6 +195,58 @@ def test_piece_encoder_equals_the_tokenizer(monkeypatch):
             assert ids.tolist() == [x for w in want for x in w]
 
 
+def test_piece_encoder_cuts_at_any_white_space():
+    """Random texts of letters, marks and all kinds of white space, in slices with null rows."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    draw = random.Random(12)
+    parts = [" ", " ", "\n", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "\u200b", "\u0120", "\0"]
+    parts += ["a", "It", "'s", "'", ".", ",", "...", "7", "\u00e9", "\u0660", "\u65e5\u672c", "\U0001f642", "\u0301", "<|endoftext|>", "x" * 70]
+    texts = [None if k % 40 == 9 else "".join(draw.choices(parts, k=draw.randint(0, 12))) for k in range(3000)]
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        encoder = tokens.PieceEncoder(tokenizer)
+        column = pa.array(["left out", *texts], kind)
+        for a in range(0, len(texts), 700):
+            ids, counts = encoder.encode(column.slice(1 + a, 700), 0)
+            assert counts.tolist() == [len(w) for w in want[a : a + 700]]
+            assert ids.tolist() == [x for w in want[a : a + 700] for x in w]
+        assert max(map(len, encoder.pieces.to_pylist())) <= tokens.PIECE
+
+
+def test_words_reach_the_tokenizer_once_whatever_follows():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.characters = tokenizer, 0
+
+        def get_vocab(self):
+            return self.tokenizer.get_vocab()
+
+        def encode(self, text, **settings):
+            self.characters += len(text)
+            return self.tokenizer.encode(text, **settings)
+
+        def encode_batch_fast(self, texts, **settings):
+            self.characters += sum(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **settings)
+
+    draw = random.Random(13)
+    words = ["".join(draw.choices("abcdefgh", k=8)) for _ in range(100)]
+    counted = Counted(Tokenizer.from_file(public.path("byte_bpe_50k.json")))
+    encoder = tokens.PieceEncoder(counted)
+    for _ in range(5):
+        texts = ["".join(draw.choice(words) + draw.choice([" ", "\n", ", ", ".\n", ",\n"]) for _ in range(200)) for _ in range(20)]
+        ids, _ = encoder.encode(texts, 0)
+        assert ids.tolist() == [x for t in texts for x in [*counted.tokenizer.encode(t, add_special_tokens=False).ids, 0]]
+    # Each word at the start, after a space and after a line end; last ones with their end.
+    assert counted.characters < 6_000
+
+
 def lcs_length(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
