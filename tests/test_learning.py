@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sitecast.catalog.load import QUERIES
 from sitecast.learning import regression as M
 from sitecast.learning.coldstart import cold_start, similar_hotels
 from sitecast.learning.splits import apply_scaler, assign_folds, fit_scaler, hash_split
@@ -63,6 +64,18 @@ def test_ranking_and_importance(spark, sites, model):
     assert imp.first()["feature"] == "a"
 
 
+def test_scored_sites_that_share_an_id_are_paired_in_several_tasks(spark, tmp_path):
+    # Nine keys are cut to LOC_1000, eight of them with competitors: 9 * 9 * 9 * 8 rows, each paired with all.
+    keys = [None, *range(1, 31), 1000, *range(10_000, 10_008)]
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    found = QUERIES["score_locations"](spark, str(tmp_path)).groupBy("location_id", "scored", "in_order", F.spark_partition_id().alias("task")).count().collect()
+    total = lambda ordered, at: sum(r["count"] for r in found if r["scored"] and r["in_order"] == ordered and (r["location_id"] == "LOC_1000") == at)
+    n = 9 * 9 * 9 * 8
+    assert (total(True, True), total(False, True), total(True, False), total(False, False)) == (n, n * n - n, 30, 0)
+    most = max(r["count"] for r in found)
+    assert most < n * n / 2 and len({r["task"] for r in found}) > 2
+
+
 def test_factors_of_an_unused_feature_are_zero(sites, model):
     rows = M.location_factors(model, sites, "LOC_003").collect()
     assert len(rows) == 3

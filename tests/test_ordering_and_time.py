@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitecast.operators import timeseries as T
-from sitecast.operators.ordering import OWN, POS, framed, prefixed, with_positions, with_running_total
+from sitecast.operators.ordering import OWN, POS, framed, prefixed, sorted_positions, with_positions, with_running_total
 
 
 def test_positions_are_dense_over_partitions(spark):
@@ -18,6 +18,12 @@ def test_positions_are_dense_over_partitions(spark):
     assert sorted(r[POS] for r in placed) == list(range(5_000))
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_positions_of_a_sorted_table_keep_its_order(spark, parts):
+    df = spark.range(1_000).repartition(7).repartitionByRange(parts, F.desc("id")).sortWithinPartitions(F.desc("id"))
+    assert {(r["id"], r["_place"]) for r in sorted_positions(df, "_place").collect()} == {(i, 999 - i) for i in range(1_000)}
+
+
 def test_running_total(spark):
     df = spark.range(100).withColumn("w", F.lit(2))
     rows = with_running_total(df, [F.col("id")], "w", "before").collect()
