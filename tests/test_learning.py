@@ -202,3 +202,36 @@ def test_spread_rows_of_a_fit_lie_beside_rows_like_them(spark, monkeypatch):
     rows = [[tuple(r) for r in task] for task in tasks]
     assert len(rows) == 4 and all(r == sorted(r) for r in rows)
     assert sorted(sum(rows, [])) == sorted((i * 7 % 17, i * 5 % 11) for i in range(200))
+
+
+def test_search_prepares_its_rows_once(spark, monkeypatch):
+    """The errors are CrossValidator's own; the table is read for the scaler, the row count and one store, and no fit is thrown away."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import RandomForestRegressor
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    read, fits = spark.sparkContext.accumulator(0), []
+    fit = RandomForestRegressor._fit
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    rows = spark.range(200).selectExpr("id AS k", "CAST(id % 17 AS DOUBLE) AS a", "id * 7 % 13 AS b", "3e0 * (id % 17) - id * 7 % 13 AS y").coalesce(1)
+    table = M.grid_search(rows.mapInPandas(seen, rows.schema), ["a", "b"], "y", "k", "randomforest", {"n_estimators": [3, 5], "max_depth": [1, 4]}, 3)[1]
+    assert read.value <= 3 * 200 and len(fits) == 3 * 4
+    found = {tuple(json.loads(r["params"]).values()): r["mse"] for r in table.collect()}
+    scaler = {r["feature"]: (r["mean"], r["std"]) for r in fit_scaler(rows, ["a", "b"]).collect()}
+    vectors = M._assembler(["a", "b"]).transform(M._prepared(assign_folds(rows, "k", 3, out="_fold"), ["a", "b"], "y", scaler)).select(M.VECTOR, "y", "_fold")
+    est = M.regressor("randomforest", "y")
+    maps = ParamGridBuilder().addGrid(est.numTrees, [3, 5]).addGrid(est.maxDepth, [1, 4]).build()
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=3, foldCol="_fold", evaluator=RegressionEvaluator(labelCol="y", metricName="mse")).fit(vectors)
+    assert found == {(m[est.numTrees], m[est.maxDepth]): pytest.approx(v) for m, v in zip(maps, cv.avgMetrics)}
+
+
+def test_search_refuses_rows_without_a_fold(spark):
+    rows = spark.range(60).selectExpr("nullif(id, 7) AS k", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id AS DOUBLE) AS y")
+    with pytest.raises(ValueError, match="range"):
+        M.grid_search(rows, ["a"], "y", "k", "randomforest", {"n_estimators": [2]}, 3)
